@@ -1,0 +1 @@
+"""Reserved.  Every operator of this engine is a batch DataFrame operator."""
