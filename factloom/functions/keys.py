@@ -93,7 +93,9 @@ def fact_key() -> Column:
             "assertion": stated_assertion(F.col("assertion")),
         }
     )
-    return C.digest("fact.v1", F.concat_ws("|", fixed, optional))
+    return C.digest(
+        "fact.v1", F.concat_ws("|", fixed, F.nullif(optional, F.lit("")))
+    )
 
 
 def source_release_key() -> Column:
@@ -157,7 +159,9 @@ def dimension_set_key() -> Column:
 
 
 def constraint_set_key() -> Column:
-    ordered = F.array_sort(F.transform("constraints", constraint_text))
+    ordered = F.array_sort(
+        F.transform("constraints", lambda item: constraint_text(item))
+    )
     return C.digest(
         "universe_constraint_set.v2",
         C.record(

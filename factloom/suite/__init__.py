@@ -1,4 +1,8 @@
 """Registered queries, one module per operator family."""
 
-from factloom.suite import scalar_cases  # noqa: F401
+from factloom.suite import (  # noqa: F401
+    fact_cases,
+    key_cases,
+    scalar_cases,
+)
 from factloom.suite.registry import ORACLES, QUERIES  # noqa: F401

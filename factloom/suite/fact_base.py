@@ -198,6 +198,10 @@ def flat_facts(spark, sf) -> DataFrame:
             "source_row_keys"
         ),
         cells.alias("source_cell_keys"),
+        F.when(status == "F", F.concat(year_text, F.lit("-01-01"))).alias(
+            "coverage_start"
+        ),
+        F.when(status == "F", F.lit("calendar")).alias("coverage_basis"),
     )
 
 

@@ -1,5 +1,6 @@
-"""Run registered queries against their SQL twins: compare.py [sf] [pattern]."""
+"""Run registered queries against their SQL twins: python tests/compare.py [sf] [pattern]."""
 
+import os
 import re
 import sys
 import time
@@ -8,7 +9,8 @@ import traceback
 import duckdb
 from pyspark.sql import SparkSession
 
-import __spark_entry__ as entry
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+import __spark_entry__ as entry  # noqa: E402
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -34,6 +36,7 @@ def main() -> None:
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.log.level", "ERROR")
+        .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
     duck = duckdb.connect()
@@ -49,7 +52,7 @@ def main() -> None:
             types = {f.name: f.dataType.simpleString() for f in frame.schema}
             left = frame.toArrow()
         except Exception:
-            print(f"FAIL {name}: spark\n{traceback.format_exc()[-1500:]}")
+            print(f"FAIL {name}: spark\n{traceback.format_exc()[-450:]}")
             bad.append(name)
             continue
         spent = time.time() - began
