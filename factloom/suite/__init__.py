@@ -3,6 +3,7 @@
 from factloom.suite import (  # noqa: F401
     fact_cases,
     key_cases,
+    reshape_cases,
     scalar_cases,
 )
 from factloom.suite.registry import ORACLES, QUERIES  # noqa: F401
