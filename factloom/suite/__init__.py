@@ -5,5 +5,6 @@ from factloom.suite import (  # noqa: F401
     key_cases,
     reshape_cases,
     scalar_cases,
+    source_cases,
 )
 from factloom.suite.registry import ORACLES, QUERIES  # noqa: F401
