@@ -5,6 +5,8 @@ from factloom.suite import (  # noqa: F401
     key_cases,
     reshape_cases,
     scalar_cases,
+    selector_cases,
     source_cases,
+    target_cases,
 )
 from factloom.suite.registry import ORACLES, QUERIES  # noqa: F401
