@@ -4,6 +4,7 @@ from factloom.suite import (  # noqa: F401
     fact_cases,
     key_cases,
     reshape_cases,
+    resolve_cases,
     scalar_cases,
     selector_cases,
     source_cases,
