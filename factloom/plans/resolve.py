@@ -15,6 +15,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from factloom.functions import canonical as C
 from factloom.functions import keys as K
 from factloom.functions.scalars import INTEGER_PATTERN
 from factloom.plans.targets import at_level
@@ -93,66 +94,52 @@ def signatures(targets: DataFrame, most: int = 256) -> list[tuple[str, ...]]:
     return sorted(tuple(row["s"]) for row in found)
 
 
+def selector_key() -> Column:
+    """Comparable text of a selector: its keys and values in key order."""
+    return F.array_join(
+        F.transform(
+            F.array_sort(F.map_entries("selector")),
+            lambda item: F.concat(item["key"], F.lit("="), C.escape(item["value"])),
+        ),
+        "|",
+    )
+
+
+def fact_selector_key(keys: Sequence[str]) -> Column:
+    """The same text for a fact; null where the fact lacks one of the keys."""
+    parts = []
+    for key in keys:
+        parts += [F.lit(f"{'|' if parts else ''}{key}="), C.escape(F.col(key))]
+    return F.concat(*parts) if parts else F.lit("")
+
+
 class Matcher(NamedTuple):
-    """Targets of one level split by the selector keys they use."""
+    """Targets and facts of one level with comparable selector keys.
+
+    A fact gets one selector key per set of keys in use, so wildcard matching
+    becomes one equi-join over one scan of the facts.
+    """
 
     targets: DataFrame
     facts: DataFrame
-    level: str
-    parts: list[tuple[str, ...]]
-
-    def asked(self, keys: Sequence[str]) -> DataFrame:
-        wanted = F.array(*[F.lit(key) for key in keys]).cast("array<string>")
-        part = self.targets.filter(F.array_sort(F.map_keys("selector")) == wanted)
-        return part.select(
-            "target_id",
-            F.lit(self.level).alias("geography_level"),
-            *[F.col("selector")[key].alias(key) for key in keys],
-        )
 
     def combinations(self) -> DataFrame:
         """``target_id``, period, assertion and number of matching facts.
 
-        Facts are counted per selector values and period *before* they meet
-        the targets, so a selector that a third of the facts satisfy costs
-        one row per period.
+        Facts are counted per selector key and period *before* they meet the
+        targets, so a selector that a third of the facts satisfy costs one
+        row per period.
         """
-        result = None
-        for keys in self.parts:
-            group = dict.fromkeys(["geography_level", *keys, *PERIOD, "assertion"])
-            facts = (
-                self.facts.filter(F.col("geography_level") == self.level)
-                .groupBy(*group)
-                .agg(F.count(F.lit(1)).alias("fact_count"))
-            )
-            on = ["geography_level", *keys]
-            # "assertion" may be a key of the selector and a column to report.
-            part = (
-                self.asked(keys)
-                .join(facts, on)
-                .select("target_id", *PERIOD, "assertion", "fact_count")
-            )
-            result = part if result is None else result.unionByName(part)
-        return result
+        group = ["selector_key", *PERIOD, "assertion"]
+        counted = self.facts.groupBy(*group).agg(F.count(F.lit(1)).alias("fact_count"))
+        return self.targets.join(counted, "selector_key").drop("selector_key")
 
     def facts_at(self, chosen: DataFrame) -> DataFrame:
         """Facts of each target at its chosen period."""
-        result = None
-        for keys in self.parts:
-            on = ["geography_level", *keys, "period_type", "period_value"]
-            asked = self.asked(keys).join(chosen, "target_id")
-            extra = [
-                name
-                for name in self.facts.columns
-                if name not in on and name not in chosen.columns
-            ]
-            part = asked.join(self.facts, on).select(
-                *chosen.columns, *extra
-            )
-            shared = [n for n in part.columns if n not in SELECTOR_KEYS]
-            part = part.select(*shared)
-            result = part if result is None else result.unionByName(part)
-        return result
+        on = ["selector_key", "period_type", "period_value"]
+        asked = chosen.join(self.targets, "target_id")
+        extra = [n for n in self.facts.columns if n not in on and n not in asked.columns]
+        return asked.join(self.facts.select(*on, *extra), on).drop("selector_key")
 
 
 def matcher(
@@ -163,8 +150,11 @@ def matcher(
 ) -> Matcher:
     valid = at_level(targets, level).filter(F.size(unknown_keys()) == 0)
     found = signatures(valid) if parts is None else parts
-    split = [tuple(sorted(keys)) for keys in found]
-    return Matcher(valid, facts, level, split)
+    keys = F.array(*[fact_selector_key(sorted(names)) for names in found])
+    keyed = facts.filter(F.col("geography_level") == level).withColumn(
+        "selector_key", F.explode(F.array_compact(keys))
+    )
+    return Matcher(valid.select("target_id", selector_key().alias("selector_key")), keyed)
 
 
 def choose_period(matches: DataFrame, requested_type: str, requested: str) -> DataFrame:
@@ -234,6 +224,7 @@ def outcomes(
     requested_type: str,
     requested: str,
     alignments: DataFrame,
+    level: str,
 ) -> DataFrame:
     """One row per active target: its outcome, basis, period and warning.
 
@@ -241,7 +232,7 @@ def outcomes(
     ``ambiguous_period_type``, ``unknown_selector_key``.
     """
     chosen = choose_period(match.combinations(), requested_type, requested)
-    active = at_level(targets, match.level).select(
+    active = at_level(targets, level).select(
         "target_id", F.size(unknown_keys()).alias("_unknown")
     )
     joined = with_alignment(active, alignments).join(chosen, "target_id", "left")
@@ -295,7 +286,9 @@ def resolve(
     and raises instead of returning an invalid report.
     """
     match = matcher(targets, facts, level, parts)
-    state = outcomes(targets, match, requested_type, requested, alignments)
+    state = outcomes(
+        targets, match, requested_type, requested, alignments, level
+    )
     done = F.col("outcome") == "resolved"
     chosen = state.filter(done).select(
         "target_id", "basis", "alignment", "period_type", "period_value"

@@ -137,7 +137,7 @@ def pt01(spark, sf):
     targets, facts = customer_targets(spark, sf), customer_facts(spark, sf)
     match = PR.matcher(targets, facts, "state", PARTS)
     state = PR.outcomes(
-        targets, match, "calendar_year", REQUESTED, own_alignments(spark, sf)
+        targets, match, "calendar_year", REQUESTED, own_alignments(spark, sf), "state"
     )
     done = F.col("outcome") == "resolved"
     resolved = match.facts_at(
@@ -187,7 +187,7 @@ def pt02(spark, sf):
     targets = customer_targets(spark, sf)
     match = PR.matcher(targets, customer_facts(spark, sf), "state", PARTS)
     return PR.outcomes(
-        targets, match, "calendar_year", REQUESTED, own.unionByName(wild)
+        targets, match, "calendar_year", REQUESTED, own.unionByName(wild), "state"
     ).select("target_id", "outcome", "alignment", "warning")
 
 
