@@ -1,6 +1,7 @@
 """Registered queries, one module per operator family."""
 
 from factloom.suite import (  # noqa: F401
+    coverage_cases,
     fact_cases,
     key_cases,
     reshape_cases,
