@@ -3,6 +3,7 @@
 from factloom.suite import (  # noqa: F401
     coverage_cases,
     fact_cases,
+    issue_cases,
     key_cases,
     reshape_cases,
     resolve_cases,
