@@ -2,6 +2,7 @@
 
 from factloom.suite import (  # noqa: F401
     coverage_cases,
+    evidence_cases,
     fact_cases,
     issue_cases,
     key_cases,
