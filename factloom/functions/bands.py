@@ -118,17 +118,18 @@ def band_contains(outer: Column, inner: Column) -> Column:
 
 def income_code_band(code: Column) -> Column:
     """Income-size code to ``struct<label, lo, hi>``; null for other codes."""
-    number = number_or_null(code).cast("bigint")
-    result = None
+    entries = []
     for value, label, lo, hi in INCOME_CODES:
-        band = F.struct(
-            F.lit(label).alias("label"),
-            F.lit(lo).cast("double").alias("lo"),
-            F.lit(hi).cast("double").alias("hi"),
-        )
-        test = number == value
-        result = F.when(test, band) if result is None else result.when(test, band)
-    return result
+        entries += [
+            F.lit(value).cast("bigint"),
+            F.struct(
+                F.lit(label).alias("label"),
+                F.lit(lo).cast("double").alias("lo"),
+                F.lit(hi).cast("double").alias("hi"),
+            ),
+        ]
+    number = number_or_null(code).cast("bigint")
+    return F.try_element_at(F.create_map(*entries), number)
 
 
 def child_count(code: Column) -> Column:

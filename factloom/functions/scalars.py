@@ -44,9 +44,12 @@ def col(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
+WHITE_SPACE = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u2007\u202f\u2028\u2029"
+
+
 def strip(text: Column) -> Column:
     """Trim every kind of white space, as opposed to blanks only."""
-    return F.regexp_replace(text, r"^\s+|\s+$", "")
+    return F.btrim(text, F.lit(WHITE_SPACE))
 
 
 def finite_number(text: Column) -> Column:
@@ -70,8 +73,16 @@ def typed_scalar(text: Column) -> Column:
     original so that codes such as ``01`` survive.
     """
     trimmed = strip(text)
-    bare = F.regexp_replace(trimmed, r"[$,]", "")
-    num = F.when(~trimmed.contains("_"), finite_number(bare))
+    return tagged_scalar(trimmed, bare_number(trimmed))
+
+
+def bare_number(trimmed: Column) -> Column:
+    """Number of trimmed delimited text, else null."""
+    bare = F.translate(trimmed, "$,", "")
+    return F.when(~trimmed.contains("_"), finite_number(bare))
+
+
+def tagged_scalar(trimmed: Column, num: Column) -> Column:
     kind = (
         F.when(trimmed.isNull() | (trimmed == ""), "empty")
         .when(num.isNotNull(), "number")

@@ -41,8 +41,8 @@ CHILD_FILTER = "eitcchildcount"
 # ---------------------------------------------------------------------------------
 
 
-def claims(facts: DataFrame, fact_id: str) -> DataFrame:
-    """Claims of each fact in order: period, filters, constraints."""
+def claims() -> Column:
+    """Claims of a fact in order: period, filters, constraints."""
     nothing = F.lit(None).cast("string")
 
     def claim(kind: str, variable: Column, operator: Column, expected: Column) -> Column:
@@ -51,6 +51,7 @@ def claims(facts: DataFrame, fact_id: str) -> DataFrame:
             variable.alias("variable"),
             operator.alias("operator"),
             expected.alias("expected"),
+            semantic_candidates(variable).alias("names"),
         )
 
     period = F.array(
@@ -67,10 +68,7 @@ def claims(facts: DataFrame, fact_id: str) -> DataFrame:
         effective_constraints(),
         lambda item: claim("constraint", item["variable"], item["operator"], item["value"]),
     )
-    every = F.concat(period, filters, constraints)
-    return facts.select(fact_id, F.posexplode(every).alias("claim", "item")).select(
-        fact_id, "claim", "item.*"
-    )
+    return F.concat(period, filters, constraints)
 
 
 def _any_name(names: Column, known: list[str]) -> Column:
@@ -79,7 +77,7 @@ def _any_name(names: Column, known: list[str]) -> Column:
 
 def lookups() -> Column:
     """Names a claim asks for: ``array<struct<role, name, rank>>``."""
-    names = semantic_candidates(F.col("variable"))
+    names = F.col("names")
     constraint = F.col("kind") == "constraint"
     side = F.when(F.col("operator").isin(">", ">="), "lower").when(
         F.col("operator").isin("<", "<="), "upper"
@@ -149,29 +147,46 @@ def cell_evidence(facts: DataFrame, fact_id: str, cells: DataFrame) -> DataFrame
     )
 
 
-def evidence_issues(
-    facts: DataFrame, fact_id: str, row_values: DataFrame, cells: DataFrame
-) -> DataFrame:
-    """Claims that the lineage of their fact does not back.
+def _backed(facts: DataFrame, fact_id: str) -> DataFrame:
+    return facts.filter(F.size("source_row_keys") > 0).select(
+        fact_id,
+        F.size("source_row_keys").alias("row_count"),
+        "source_row_keys",
+        "source_cell_keys",
+        claims().alias("claims"),
+    )
 
-    ``facts`` are nested facts with row and cell keys; ``row_values`` holds
-    ``row_key, position, raw_name, value_text``; ``cells`` holds ``cell_key,
-    raw, display``.  Facts without row lineage are another check's business.
-    The result has one row per claim: its code and how many rows disagree.
-    """
-    backed = facts.filter(F.size("source_row_keys") > 0)
-    asked = claims(backed, fact_id)
-    lineage = backed.select(fact_id, F.explode("source_row_keys").alias("row_key"))
-    sizes = backed.select(fact_id, F.size("source_row_keys").alias("row_count"))
 
+def _asked(backed: DataFrame, fact_id: str, cells: DataFrame) -> DataFrame:
+    """One row per claim with the header codes of its fact."""
+    return (
+        backed.select(fact_id, "row_count", "claims")
+        .join(cell_evidence(backed, fact_id, cells), fact_id, "left")
+        .select(
+            fact_id,
+            "row_count",
+            "cell_children",
+            "cell_bands",
+            F.posexplode("claims").alias("claim", "item"),
+        )
+        .select("*", "item.*")
+        .drop("item")
+    )
+
+
+def _found(backed: DataFrame, fact_id: str, row_values: DataFrame) -> DataFrame:
+    """One row per (claim, lineage row): the best ranked value of each role."""
     wanted = (
-        asked.withColumn("look", F.explode(lookups()))
-        .select(fact_id, "claim", "variable", "operator", "expected", "look.*")
-        .join(lineage, fact_id)
+        backed.select(fact_id, F.explode("source_row_keys").alias("row_key"), "claims")
+        .select(fact_id, "row_key", F.posexplode("claims").alias("claim", "item"))
+        .select(fact_id, "row_key", "claim", "item.*")
+        .withColumn("look", F.explode(lookups()))
+        .select(fact_id, "row_key", "claim", "variable", "operator", "expected", "look.*")
+    )
+    found = wanted.join(row_index(row_values), ["row_key", "name"]).withColumn(
+        "band", F.when(F.col("role") == "age", age_band(F.col("value")))
     )
-    found = wanted.join(row_index(row_values), ["row_key", "name"])
 
-    # One row per (claim, lineage row): the best ranked value of each role.
     def best(role: str, value: Column, test: Column | None = None) -> Column:
         use = F.col("role") == role
         use = use if test is None else use & test
@@ -179,39 +194,57 @@ def evidence_issues(
             F.when(use, F.struct(value.alias("v"))), F.when(use, F.col("rank"))
         )
 
-    band = age_band(F.col("value"))
     per_row = found.groupBy(
         fact_id, "claim", "row_key", "variable", "operator", "expected"
     ).agg(
         best("direct", F.col("value")).alias("_direct"),
         best("bound", F.col("value")).alias("_bound"),
-        best("age", band, band.isNotNull()).alias("_age"),
+        best("age", F.col("band"), F.col("band").isNotNull()).alias("_age"),
         best("code", F.col("value")).alias("_code"),
     )
     code = income_code_band(F.col("_code.v"))
-    per_row = per_row.withColumn("_range", F.when(F.col("_code").isNotNull(), code))
+    return per_row.withColumn("_range", F.when(F.col("_code").isNotNull(), code))
 
+
+def _folded(per_row: DataFrame, fact_id: str) -> DataFrame:
+    """Counts of agreeing and disagreeing rows per claim."""
     variable, operator, expected = F.col("variable"), F.col("operator"), F.col("expected")
     ranged = semantic_name(variable) == INCOME_RANGE
     by_code = ranged & F.col("_range").isNotNull()
     direct = F.when(by_code, F.col("_range.label")).otherwise(F.col("_direct.v"))
-    has_direct = by_code | F.col("_direct").isNotNull()
-    inside = ranged & band_contains(income_bounds(expected), income_bounds(direct))
-    equal = loose_equal(direct, expected) | inside
-    agrees = F.when(operator.isNull(), equal).otherwise(
-        operator_match(direct, operator, expected)
+    staged = per_row.withColumns(
+        {
+            "_has": by_code | F.col("_direct").isNotNull(),
+            "_value": direct,
+            "_ranged": ranged,
+            "_number": number_or_null(expected),
+            "_bound_number": number_or_null(F.col("_bound.v")),
+        }
     )
-    number = number_or_null(expected)
-    bound_ok = F.col("_bound").isNotNull() & F.coalesce(
-        number_or_null(F.col("_bound.v")) == number, F.lit(False)
+    value = F.col("_value")
+    inside = F.col("_ranged") & band_contains(
+        income_bounds(expected), income_bounds(value)
+    )
+    agrees = F.when(operator.isNull(), loose_equal(value, expected) | inside).otherwise(
+        operator_match(value, operator, expected)
     )
+    bound_ok = F.col("_bound").isNotNull() & (F.col("_bound_number") == F.col("_number"))
     lower, upper = F.col("_range.lo"), F.col("_range.hi")
-    folded = per_row.groupBy(fact_id, "claim").agg(
-        F.count_if(has_direct).alias("direct_rows"),
-        F.count_if(has_direct & ~F.coalesce(agrees, F.lit(False))).alias("mismatches"),
-        F.count_if(bound_ok).alias("bound_rows"),
-        F.count("_age").alias("age_rows"),
-        F.collect_set("_age.v").alias("bands"),
+    judged = staged.select(
+        fact_id,
+        "claim",
+        "_has",
+        (F.col("_has") & ~F.coalesce(agrees, F.lit(False))).alias("_wrong"),
+        F.coalesce(bound_ok, F.lit(False)).alias("_bound_ok"),
+        F.col("_age.v").alias("_band"),
+        "_range",
+    )
+    return judged.groupBy(fact_id, "claim").agg(
+        F.count_if("_has").alias("direct_rows"),
+        F.count_if("_wrong").alias("mismatches"),
+        F.count_if("_bound_ok").alias("bound_rows"),
+        F.count("_band").alias("age_rows"),
+        F.collect_set("_band").alias("bands"),
         F.count("_range").alias("code_rows"),
         F.count(lower).alias("lower_rows"),
         F.count(upper).alias("upper_rows"),
@@ -219,20 +252,32 @@ def evidence_issues(
         F.max(upper).alias("code_upper"),
     )
 
-    joined = (
-        asked.join(sizes, fact_id)
+
+def evidence_issues(
+    facts: DataFrame, fact_id: str, row_values: DataFrame, cells: DataFrame
+) -> DataFrame:
+    """Claims that the lineage of their fact does not back.
+
+    ``facts`` are nested facts with row and cell keys; ``row_values`` holds
+    ``row_key, position, raw_name, value_text``; ``cells`` holds ``cell_key,
+    raw, display``.  Facts without row lineage are another check's business.
+    The result has one row per claim: its code and how many rows disagree.
+    """
+    backed = _backed(facts, fact_id)
+    folded = _folded(_found(backed, fact_id, row_values), fact_id)
+    return (
+        _asked(backed, fact_id, cells)
         .join(folded, [fact_id, "claim"], "left")
-        .join(cell_evidence(backed, fact_id, cells), fact_id, "left")
+        .select(fact_id, "claim", "kind", "variable", _verdict().alias("v"))
+        .select(fact_id, "claim", "kind", "variable", "v.*")
+        .filter(F.col("code").isNotNull())
     )
-    return joined.select(
-        fact_id, "claim", "kind", "variable", _verdict().alias("v")
-    ).select(fact_id, "claim", "kind", "variable", "v.*").filter(F.col("code").isNotNull())
 
 
 def _verdict() -> Column:
     """``struct<code, mismatches>`` of one claim; code is null when backed."""
     variable, operator, expected = F.col("variable"), F.col("operator"), F.col("expected")
-    names = semantic_candidates(variable)
+    names = F.col("names")
     number = number_or_null(expected)
     zero = lambda name: F.coalesce(F.col(name), F.lit(0))
     rows = F.col("row_count")

@@ -251,36 +251,51 @@ def _constraint_text(item: Column, variable: Column | None = None) -> Column:
     return F.concat_ws("|", *[F.coalesce(part, F.lit("-")) for part in parts])
 
 
-def contract_issues(store_names: Sequence[str], derived_roots: Sequence[str]):
-    """Rules and issue arrays of the consumer contract for one fact."""
-    implied = filter_constraints(F.col("filters"))
+def with_contract_columns(facts: DataFrame) -> DataFrame:
+    """Working columns of the contract rules, each computed once per fact."""
     source_name = F.col("source.source_name")
-    dimension = F.col("layout.groupby_dimension")
-    own_names = F.transform(
-        F.filter(implied, lambda item: is_source_specific(source_name, item["variable"])),
+    own = F.transform(
+        F.filter(
+            "_implied", lambda item: is_source_specific(source_name, item["variable"])
+        ),
         lambda item: item["variable"],
     )
-
-    def canonical(variable: Column) -> Column:
-        mapped = (
-            F.array_contains(own_names, variable)
-            & (dimension != "")
-            & (concept_leaf(variable) == concept_leaf(dimension))
+    return (
+        facts.withColumn("_implied", filter_constraints(F.col("filters")))
+        .withColumns({"_own": own, "_leaf": concept_leaf(F.col("layout.groupby_dimension"))})
+        .withColumns(
+            {
+                "_expected": F.transform(
+                    "_implied",
+                    lambda item: _constraint_text(item, _canonical(item["variable"])),
+                ),
+                "_explicit": F.transform("constraints", lambda item: _constraint_text(item)),
+            }
         )
-        return F.when(F.coalesce(mapped, F.lit(False)), dimension).otherwise(variable)
+    )
+
 
-    expected = F.transform(
-        implied, lambda item: _constraint_text(item, canonical(item["variable"]))
+def _canonical(variable: Column) -> Column:
+    dimension = F.col("layout.groupby_dimension")
+    mapped = (
+        F.array_contains("_own", variable)
+        & (dimension != "")
+        & (concept_leaf(variable) == F.col("_leaf"))
     )
-    explicit = F.transform("constraints", lambda item: _constraint_text(item))
+    return F.when(F.coalesce(mapped, F.lit(False)), dimension).otherwise(variable)
+
+
+def contract_issues(store_names: Sequence[str], derived_roots: Sequence[str]):
+    """Rules and issue arrays over ``with_contract_columns``."""
+    source_name = F.col("source.source_name")
 
-    def copies(items: Column, text: Column) -> Column:
+    def copies(items: str, text: Column) -> Column:
         return F.size(F.filter(items, lambda other: other == text))
 
     # Multiset comparison inside one fact: its constraints are a short list.
     short = F.filter(
-        F.array_distinct(expected),
-        lambda text: copies(explicit, text) < copies(expected, text),
+        F.array_distinct("_expected"),
+        lambda text: copies("_explicit", text) < copies("_expected", text),
     )
     stated = F.size("constraints") > 0
     mismatch = F.when(
@@ -291,7 +306,7 @@ def contract_issues(store_names: Sequence[str], derived_roots: Sequence[str]):
         F.filter(
             "constraints",
             lambda item: is_source_specific(source_name, item["variable"])
-            | (canonical(item["variable"]) != item["variable"]),
+            | (_canonical(item["variable"]) != item["variable"]),
         ),
         lambda _: issue("source_specific_constraint_variable", "constraints"),
     )
@@ -300,7 +315,7 @@ def contract_issues(store_names: Sequence[str], derived_roots: Sequence[str]):
         Rule(
             "implicit_constraints_from_filters",
             "constraints",
-            (F.size(implied) > 0) & ~stated,
+            (F.size("_implied") > 0) & ~stated,
         ),
         *[
             Rule(
@@ -346,7 +361,7 @@ def validate_contract(
     derived_roots: Sequence[str] = ("store://derived/",),
 ) -> DataFrame:
     rules, more = contract_issues(store_names, derived_roots)
-    return issue_rows(facts, ["seq"], rules, more)
+    return issue_rows(with_contract_columns(facts), ["seq"], rules, more)
 
 
 # --- fixed values: the contract row ---------------------------------------------

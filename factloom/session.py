@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 RUNTIME_SETTINGS = {
     # Adaptive execution sizes partitions, picks broadcast joins from measured
@@ -24,6 +24,15 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Use every core on a small input that arrives in fewer partitions.
+
+    Large inputs have more splits than there are cores and stay as they are.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str | None:
     """Shared folder named by the cluster, or ``fallback`` where it is unset."""
     configured = spark.conf.get("spark.checkpoint.dir", None)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,7 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from factloom.functions.scalars import typed_scalar
+from factloom.functions.scalars import bare_number, strip, tagged_scalar
 from factloom.operators.sequence import join_on
 
 LINE_BREAK = "\\r\\n|[\\n\\r\\u000B\\u000C\\u001C-\\u001E\\u0085\\u2028\\u2029]"
@@ -55,13 +56,28 @@ def parse_delimited(
     Short rows are padded with nulls and surplus fields are ignored.  Where a
     header name is repeated only its last column is kept.
     """
-    schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names))])
-    options = {"sep": delimiter, "mode": "PERMISSIVE", "quote": '"', "escape": '"'}
-    parsed = lines.withColumn("_row", F.from_csv("line", schema.simpleString(), options))
+    mark = re.escape(delimiter)
+    field = rf'{mark}("(?:[^"]++|"")*+"[^{mark}]*|[^{mark}]*)'
+    quoted = r'(?s)^"((?:[^"]++|"")*+)"(.*)$'
+
+    def unquote(text: Column) -> Column:
+        inner = F.replace(F.regexp_extract(text, quoted, 1), F.lit('""'), F.lit('"'))
+        plain = F.concat(inner, F.regexp_extract(text, quoted, 2))
+        return F.when(text.startswith('"'), plain).otherwise(text)
+
+    # A leading delimiter gives every field the same shape.
+    raw = F.regexp_extract_all(F.concat(F.lit(delimiter), "line"), F.lit(field), F.lit(1))
     last = {name: i for i, name in enumerate(names)}
+    used = [(i, name) for i, name in enumerate(names) if last[name] == i]
+    # Staged, so that each text is trimmed and each number is read once.
+    parsed = (
+        lines.withColumn("_row", F.transform(raw, unquote))
+        .withColumns({f"_t{i}": strip(F.get("_row", F.lit(i))) for i, _ in used})
+        .withColumns({f"_n{i}": bare_number(F.col(f"_t{i}")) for i, _ in used})
+    )
 
     def value(i: int, name: str) -> Column:
-        scalar = typed_scalar(F.col(f"_row.c{i}"))
+        scalar = tagged_scalar(F.col(f"_t{i}"), F.col(f"_n{i}"))
         return F.struct(
             F.lit(i + 1).alias("pos"),
             F.lit(name).alias("name"),
@@ -70,7 +86,7 @@ def parse_delimited(
             scalar["num"].alias("num"),
         )
 
-    values = F.array(*[value(i, n) for i, n in enumerate(names) if last[n] == i])
+    values = F.array(*[value(i, name) for i, name in used])
     return parsed.select(*keep, values.alias("values"))
 
 

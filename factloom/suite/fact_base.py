@@ -61,7 +61,7 @@ facts AS (SELECT *,
 
 
 def flat_facts(spark, sf) -> DataFrame:
-    orders = table(spark, sf, "orders")
+    orders = table(spark, sf, "orders", heavy=True)
     customers = table(spark, sf, "customer").select(
         "c_custkey", "c_nationkey", "c_mktsegment"
     )

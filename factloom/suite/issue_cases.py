@@ -216,7 +216,7 @@ def vl04_canonical(spark, sf):
     )
     rules, more = PRU.contract_issues(["factloom"], ["store://derived/"])
     named = [r for r in rules if r.field == "constraints"]
-    return I.issue_rows(facts, ["seq"], named, more)
+    return I.issue_rows(PRU.with_contract_columns(facts), ["seq"], named, more)
 
 
 REQUIRED = ["key", "value", "assertion", "place"]
@@ -265,7 +265,7 @@ def json_rows(spark, sf):
     )
     text = F.to_json(body)
     listed = F.regexp_replace(text, r"\}$", ',"place":[1]}')
-    return table(spark, sf, "orders").select(
+    return table(spark, sf, "orders", heavy=True).select(
         "o_orderkey", F.when(level == "3-MEDIUM", listed).otherwise(text).alias("body")
     )
 

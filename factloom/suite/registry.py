@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from factloom.session import spread
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -26,8 +28,12 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
-def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+def table(
+    spark: SparkSession, folder: str, name: str, heavy: bool = False
+) -> DataFrame:
+    """One of the given tables; ``heavy`` work on it should use every core."""
+    rows = spark.read.parquet(f"{folder}/{name}.parquet")
+    return spread(rows) if heavy else rows
 
 
 # --- SQL text helpers shared by the oracles ----------------------------------

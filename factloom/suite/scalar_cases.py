@@ -61,7 +61,7 @@ def mixed_literals(spark, sf):
     FROM typed""",
 )
 def fn01(spark, sf):
-    words = table(spark, sf, "documents").select(
+    words = table(spark, sf, "documents", heavy=True).select(
         F.explode(F.split("text", " ")).alias("token")
     )
     counted = (
@@ -523,7 +523,7 @@ def fn19(spark, sf):
         (1890 + F.col("n_chars") % 160).cast("string"),
         F.lit(" ty2001"),
     )
-    return table(spark, sf, "documents").select(
+    return table(spark, sf, "documents", heavy=True).select(
         "doc_id", S.first_year(body).alias("year")
     )
 
@@ -547,7 +547,7 @@ KEYWORD_RULES = [
         OR contains(lower(text), ' el ') THEN 'article' ELSE 'other' END AS class FROM documents""",
 )
 def fn20(spark, sf):
-    return table(spark, sf, "documents").select(
+    return table(spark, sf, "documents", heavy=True).select(
         "doc_id",
         S.keyword_class(F.lower("text"), KEYWORD_RULES, "other").alias("class"),
     )
@@ -581,7 +581,7 @@ def fn21(spark, sf):
 )
 def fn22(spark, sf):
     raw = F.concat("text", F.lit("   x "))
-    return table(spark, sf, "documents").select(
+    return table(spark, sf, "documents", heavy=True).select(
         "doc_id", S.clean_space(raw).alias("clean")
     )
 

@@ -37,7 +37,7 @@ def src01(spark, sf):
         .when(status == "F", F.concat(F.lit(","), status, F.lit(",surplus")))
         .otherwise(F.concat(F.lit(","), status)),
     )
-    lines = table(spark, sf, "orders").select(
+    lines = table(spark, sf, "orders", heavy=True).select(
         F.col("o_orderkey").alias("row_number"), line.alias("line")
     )
     rows = D.parse_delimited(lines, ["row_number"], CSV_NAMES)
@@ -110,13 +110,13 @@ def src04_tables(spark, sf):
         "o_orderstatus",
         F.lit("</td></tr></table>"),
     )
-    pages = table(spark, sf, "orders").select("o_orderkey", body.alias("html"))
+    pages = table(spark, sf, "orders", heavy=True).select("o_orderkey", body.alias("html"))
     return G.page_cells(G.page_pieces(pages, "o_orderkey", "html"))
 
 
 @query("src04_html_blocks")
 def src04_blocks(spark, sf):
-    return G.page_blocks(G.page_pieces(table(spark, sf, "pages"), "page_id", "html"))
+    return G.page_blocks(G.page_pieces(table(spark, sf, "pages", heavy=True), "page_id", "html"))
 
 
 @query(
@@ -127,7 +127,7 @@ def src04_blocks(spark, sf):
     SELECT page_id, nullif(title, '') AS payload, CASE WHEN title = '' THEN 'missing_payload' END AS issue, nullif(lang, '') AS lang FROM t""",
 )
 def src05(spark, sf):
-    pages = table(spark, sf, "pages").withColumn(
+    pages = table(spark, sf, "pages", heavy=True).withColumn(
         "lang", F.nullif(F.regexp_extract("html", '<html lang="([a-z]+)"', 1), F.lit(""))
     )
     return G.payload(pages, ["page_id", "lang"], "html", "<title>([^<]*)</title>")
@@ -155,7 +155,7 @@ lines AS (SELECT doc_id, line_number, line FROM lines1 WHERE line <> '' OR line_
 
 @query("src07_text_lines", f"WITH {SQL_LINES} SELECT * FROM lines")
 def src07(spark, sf):
-    return D.text_lines(table(spark, sf, "documents"), ["doc_id"], "text")
+    return D.text_lines(table(spark, sf, "documents", heavy=True), ["doc_id"], "text")
 
 
 @query(
@@ -166,12 +166,12 @@ def src07(spark, sf):
       ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING) AS context FROM c WHERE line <> ''""",
 )
 def wn03(spark, sf):
-    return G.context_lines(table(spark, sf, "documents"), ["doc_id"], "text")
+    return G.context_lines(table(spark, sf, "documents", heavy=True), ["doc_id"], "text")
 
 
 @query("src08_number_mentions")
 def src08(spark, sf):
-    lines = G.context_lines(table(spark, sf, "documents"), ["doc_id"], "text")
+    lines = G.context_lines(table(spark, sf, "documents", heavy=True), ["doc_id"], "text")
     return G.number_mentions(
         lines, ["doc_id", "line_number", "line", "context"], "line"
     )
