@@ -126,6 +126,14 @@ def lineage_coverage(records: DataFrame) -> DataFrame:
     )
 
 
+def side_by_side(parts: Sequence[DataFrame]) -> DataFrame:
+    """One-row reports with different columns, put into one row."""
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.unionByName(part, allowMissingColumns=True)
+    return rows.agg(*[F.max(name).alias(name) for name in rows.columns])
+
+
 def store_stats(
     targets: DataFrame, strata: DataFrame, source: str, period: str
 ) -> DataFrame:
@@ -136,9 +144,8 @@ def store_stats(
         F.count_distinct(period).alias("periods"),
         F.min(period).alias("first_period"),
         F.max(period).alias("last_period"),
-    ).withColumn("_one", F.lit(1))
-    count = strata.agg(F.count(F.lit(1)).alias("strata")).withColumn("_one", F.lit(1))
-    return sizes.join(count, "_one").drop("_one")
+    )
+    return side_by_side([sizes, strata.agg(F.count(F.lit(1)).alias("strata"))])
 
 
 def source_summary(targets: DataFrame, projection_from: int = 2024) -> DataFrame:

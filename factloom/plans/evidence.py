@@ -28,6 +28,7 @@ from factloom.functions.scalars import (
     semantic_candidates,
     semantic_name,
 )
+from factloom.operators.coverage import side_by_side
 from factloom.plans.facts import effective_constraints
 
 # --- fixed values ---------------------------------------------------------------
@@ -400,10 +401,7 @@ def acceptance(
             F.count_if(bare_evidence).alias("concept_alignment_missing_evidence_count"),
         ),
     ]
-    one = None
-    for part in parts:
-        keyed = part.withColumn("_one", F.lit(1))
-        one = keyed if one is None else one.join(keyed, "_one")
+    one = side_by_side(parts)
     c = F.col
     no_row_source = c("source_row_count") == 0
     row_lineage = (c("missing_source_row_lineage_count") == 0) & (
@@ -428,4 +426,4 @@ def acceptance(
     accepted = None
     for test in checks.values():
         accepted = test if accepted is None else accepted & test
-    return one.drop("_one").withColumns({**checks, "accepted": accepted})
+    return one.withColumns({**checks, "accepted": accepted})

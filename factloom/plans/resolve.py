@@ -207,15 +207,16 @@ def choose_period(matches: DataFrame, requested_type: str, requested: str) -> Da
 
 
 def with_alignment(targets: DataFrame, alignments: DataFrame) -> DataFrame:
-    """Own alignment of each target, else the one declared for ``*``."""
+    """Own alignment of each target, else the one declared for ``*``.
+
+    There is at most one ``*`` entry; it is read once and becomes a constant.
+    """
     own = alignments.filter("target_id != '*'").select(
         "target_id", F.col("alignment").alias("own_alignment")
     )
-    wild = alignments.filter("target_id = '*'").select(
-        F.lit("*").alias("_star"), F.col("alignment").alias("wild_alignment")
-    )
-    joined = targets.join(own, "target_id", "left").withColumn("_star", F.lit("*"))
-    return joined.join(wild, "_star", "left").drop("_star")
+    wild = alignments.filter("target_id = '*'").select("alignment").first()
+    constant = F.lit(None if wild is None else wild["alignment"]).cast("string")
+    return targets.join(own, "target_id", "left").withColumn("wild_alignment", constant)
 
 
 def outcomes(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from factloom.functions import canonical as C
 from factloom.functions import keys as K
+from factloom.operators.coverage import side_by_side
 from factloom.operators.sequence import first_wins
 from factloom.plans import facts as P
 
@@ -172,10 +173,9 @@ def nested_summary(parts: Mapping[str, tuple[DataFrame, Column]]) -> DataFrame:
 
     For small reports only: each part has one row per source, year or area.
     """
-    result = None
-    for name, (frame, row) in parts.items():
-        folded = frame.agg(
-            F.to_json(F.array_sort(F.collect_list(row))).alias(name)
-        ).withColumn("_one", F.lit(1))
-        result = folded if result is None else result.join(folded, "_one")
-    return result.drop("_one")
+    return side_by_side(
+        [
+            frame.agg(F.to_json(F.array_sort(F.collect_list(row))).alias(name))
+            for name, (frame, row) in parts.items()
+        ]
+    )
