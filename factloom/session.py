@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 RUNTIME_SETTINGS = {
@@ -33,9 +35,20 @@ def spread(rows: DataFrame) -> DataFrame:
     return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
 
 
-def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str | None:
-    """Shared folder named by the cluster, or ``fallback`` where it is unset."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured is None:
-        configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    return configured or fallback
+def checkpoint_dir(spark: SparkSession) -> str | None:
+    """Shared folder named by the cluster, null where none is set."""
+    return spark.conf.get("spark.checkpoint.dir", None)
+
+
+def materialise(rows: DataFrame, label: str) -> DataFrame:
+    """Write a table that several outputs share once, and read it back.
+
+    The written copy is in the cluster's shared folder, so lost executors do
+    not lose it.  Without such a folder the rows stay lazy and are recomputed.
+    """
+    folder = checkpoint_dir(rows.sparkSession)
+    if folder is None:
+        return rows
+    path = f"{folder}/factloom/{label}-{uuid.uuid4().hex}"
+    rows.write.parquet(path)
+    return rows.sparkSession.read.parquet(path)

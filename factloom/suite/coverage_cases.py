@@ -10,6 +10,7 @@ from factloom.operators import coverage as V
 from factloom.operators import reshape as R
 from factloom.operators import sequence as Q
 from factloom.plans import facts as P
+from factloom.session import materialise
 from factloom.sources import store as T
 from factloom.suite.fact_base import SQL_FACTS, SQL_KEYED, order_facts
 from factloom.suite.fact_cases import SQL_LIFTED
@@ -293,7 +294,7 @@ def src12(spark, sf):
 
 
 def build_parts(spark, sf):
-    facts = order_facts(spark, sf)
+    facts = materialise(order_facts(spark, sf), "build-facts")
     columns = ["p_name", "p_brand", "p_size"]
     parts = table(spark, sf, "part").withColumn(
         "row_key",

@@ -9,6 +9,7 @@ from factloom.operators import selectors as L
 from factloom.plans import evidence as E
 from factloom.plans import facts as P
 from factloom.plans import rules as PRU
+from factloom.session import materialise
 from factloom.sources import store as T
 from factloom.suite.fact_base import SQL_FACTS, flat_facts
 from factloom.suite.issue_cases import is_status
@@ -126,6 +127,7 @@ def vl11(spark, sf):
 )
 def vl10(spark, sf):
     facts, row_values, cells = evidence_tables(spark, sf)
+    facts = materialise(facts, "gate-facts")
     source_rows = table(spark, sf, "orders").select(
         F.col("o_orderkey").cast("string").alias("row_key")
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from factloom.plans import resolve as PR
+from factloom.session import materialise
 from factloom.suite.fact_base import SQL_FACTS, order_facts
 from factloom.suite.registry import query, table
 
@@ -134,7 +135,8 @@ oc AS (SELECT target_id, c_acctbal > 5000 AS own, exact, period_type, period_val
       period_type, period_value, value FROM oc LEFT JOIN mt ON oc.outcome = 'resolved' AND mt.target_id = oc.target_id AND mt.pt = period_type AND mt.pv = period_value""",
 )
 def pt01(spark, sf):
-    targets, facts = customer_targets(spark, sf), customer_facts(spark, sf)
+    targets = customer_targets(spark, sf)
+    facts = materialise(customer_facts(spark, sf), "profile-facts")
     match = PR.matcher(targets, facts, "state", PARTS)
     state = PR.outcomes(
         targets, match, "calendar_year", REQUESTED, own_alignments(spark, sf), "state"

@@ -116,3 +116,17 @@ def test_strict_raises_and_lenient_reports(spark):
     report = PR.resolve(asked, facts(spark), "tax_year", "2022", none, strict=True)
     assert [r["value"] for r in report.resolved.collect()] == [110]
     assert report.violations.count() == 0
+
+
+def test_materialised_facts_in_the_shared_folder(spark, tmp_path):
+    from factloom.session import materialise
+
+    plain = facts(spark)
+    assert materialise(plain, "x") is plain
+    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
+    try:
+        copy = materialise(plain, "x")
+        assert sorted(copy.collect()) == sorted(plain.collect())
+        assert list(tmp_path.rglob("*.parquet"))
+    finally:
+        spark.conf.unset("spark.checkpoint.dir")
