@@ -34,6 +34,7 @@ def main() -> None:
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.log.level", "ERROR")
         .config("spark.ui.showConsoleProgress", "false")
