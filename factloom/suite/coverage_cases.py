@@ -44,7 +44,7 @@ _AG01 = {
     UNION ALL SELECT 'missing_rows', 'count', count(*) FROM src WHERE st = 'P'""",
 )
 def ag01(spark, sf):
-    facts = order_facts(spark, sf)
+    facts = materialise(order_facts(spark, sf), "counted-facts")
     counts = V.counts_by(
         facts,
         {
@@ -152,8 +152,9 @@ def ag04(spark, sf):
     UNION ALL SELECT DISTINCT semantic_fact_key, 'legacy_fact_key', legacy_fact_key FROM keyed JOIN d ON k = semantic_fact_key""",
 )
 def ag04_members(spark, sf):
+    rows = P.consumer_rows(order_facts(spark, sf))
     return V.duplicate_members(
-        P.consumer_rows(order_facts(spark, sf)),
+        materialise(rows, "consumer-rows"),
         "semantic_fact_key",
         {
             "source": F.concat_ws(":", "source.source_name", "source.source_table"),

@@ -25,6 +25,7 @@ def evidence_tables(spark, sf):
             {"source_row_keys": F.array(key), "source_cell_keys": F.array(key)}
         )
     )
+    facts = materialise(facts, "evidence-facts")
     segment, price = F.col("source.source_name"), F.col("value_num")
     kind = F.col("entity.name")
     year = F.col("source.vintage").cast("int")
@@ -127,7 +128,6 @@ def vl11(spark, sf):
 )
 def vl10(spark, sf):
     facts, row_values, cells = evidence_tables(spark, sf)
-    facts = materialise(facts, "gate-facts")
     source_rows = table(spark, sf, "orders").select(
         F.col("o_orderkey").cast("string").alias("row_key")
     )

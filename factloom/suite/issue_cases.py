@@ -9,6 +9,7 @@ from factloom.operators import issues as I
 from factloom.operators import selectors as L
 from factloom.plans import facts as P
 from factloom.plans import rules as PRU
+from factloom.session import materialise
 from factloom.suite.fact_base import SQL_FACTS, SQL_KEYED, order_facts
 from factloom.suite.registry import query, sql_digest, sql_record, table
 from factloom.suite.reshape_cases import spec_tables
@@ -94,7 +95,8 @@ def spoiled_facts(spark, sf):
     SELECT * FROM i""",
 )
 def vl01(spark, sf):
-    return PRU.validate_facts(spoiled_facts(spark, sf)).drop("fact_key")
+    facts = materialise(spoiled_facts(spark, sf), "spoiled-facts")
+    return PRU.validate_facts(facts).drop("fact_key")
 
 
 _RK = sql_digest(
