@@ -122,11 +122,14 @@ def test_materialised_facts_in_the_shared_folder(spark, tmp_path):
     from factloom.session import materialise
 
     plain = facts(spark)
-    assert materialise(plain, "x") is plain
+    before = spark.conf.get("spark.checkpoint.dir", None)
     spark.conf.set("spark.checkpoint.dir", str(tmp_path))
     try:
         copy = materialise(plain, "x")
         assert sorted(copy.collect()) == sorted(plain.collect())
         assert list(tmp_path.rglob("*.parquet"))
     finally:
-        spark.conf.unset("spark.checkpoint.dir")
+        if before is None:
+            spark.conf.unset("spark.checkpoint.dir")
+        else:
+            spark.conf.set("spark.checkpoint.dir", before)
