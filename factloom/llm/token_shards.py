@@ -186,9 +186,10 @@ def write_shards(
         encoder, part = Encoder.of(file, cut), TaskContext.get().partitionId()
         keys, bodies, held, number = [], [], 0, 0
         for batch in batches:
-            for key, text in zip(batch["key"].tolist(), batch["text"]):
+            found = encoder.ids(batch["text"])
+            for key, ids in zip(batch["key"].tolist(), found):
                 keys.append(key)
-                bodies.append(encoder.ids(text) + end)
+                bodies.append(ids + end)
                 held += len(bodies[-1]) // 4
                 if held >= shard_ids:
                     yield pd.DataFrame([_shard(part, number, keys, bodies)])

@@ -9,8 +9,9 @@ time but never changes an id.
 from __future__ import annotations
 
 import re
-
-import numpy as np
+import struct
+from collections.abc import Iterable, Iterator
+from itertools import chain, islice
 
 from .common import SPACES
 
@@ -30,7 +31,7 @@ def public_path(name: str) -> str:
 
 
 class Encoder:
-    """Encodes texts with one vocabulary file; ``room`` bounds the memo.
+    """Encodes texts with one vocabulary file; ``room`` bounds the memo, in units.
 
     ``cut`` names the unit pattern that fits the file's own pre-tokenizer.
     Special tokens' strings in a text are ordinary text.
@@ -38,14 +39,15 @@ class Encoder:
 
     _known: dict[tuple, "Encoder"] = {}
 
-    def __init__(self, path: str, cut: str, room: int = 600_000):
+    def __init__(self, path: str, cut: str, room: int = 1_500_000):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        tokenizer = Tokenizer.from_file(path)
+        tokenizer.encode_special_tokens = True
+        self.encode = tokenizer.encode_batch_fast
         self.find = re.compile(CUTS[cut]).findall
         self.room = room
         self.memo: dict[str, bytes] = {}
@@ -57,22 +59,22 @@ class Encoder:
             cls._known[path, cut] = cls(path, cut)
         return cls._known[path, cut]
 
-    def _learn(self, units: list[str]) -> None:
-        new = [unit for unit in dict.fromkeys(units) if unit not in self.memo]
-        if len(self.memo) + len(new) > self.room:
-            self.memo.clear()
-            new = list(dict.fromkeys(units))
-        for start in range(0, len(new), 10_000):
-            part = new[start : start + 10_000]
-            found = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
-            for unit, one in zip(part, found):
-                self.memo[unit] = np.array(one.ids, "<u4").tobytes()
-
-    def ids(self, text: str) -> bytes:
-        """All ids of ``text`` as little-endian unsigned 32-bit integers."""
-        units = self.find(text)
-        try:
-            return b"".join(map(self.memo.__getitem__, units))
-        except KeyError:
-            self._learn(units)
-            return b"".join(map(self.memo.__getitem__, units))
+    def ids(self, texts: Iterable[str], step: int = 64) -> Iterator[bytes]:
+        """Per text all ids as little-endian unsigned 32-bit integers.
+
+        Units that are new in ``step`` texts are encoded together.
+        """
+        texts = iter(texts)
+        while units := [self.find(text) for text in islice(texts, step)]:
+            known = set(chain.from_iterable(units))
+            new = list(known.difference(self.memo))
+            if len(self.memo) + len(new) > self.room:
+                self.memo.clear()
+                new = list(known)
+            for at in range(0, len(new), 10_000):
+                part = new[at : at + 10_000]
+                for unit, one in zip(part, self.encode(part, add_special_tokens=False)):
+                    ids = one.ids
+                    self.memo[unit] = struct.pack(f"<{len(ids)}I", *ids)
+            for some in units:
+                yield b"".join(map(self.memo.__getitem__, some))
