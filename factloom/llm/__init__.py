@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from .fingerprints import op1_fingerprints
 from .token_shards import op4_token_shards
 
-_QUERIES = [op4_token_shards]
+_QUERIES = [op1_fingerprints, op4_token_shards]
 
 
 def queries() -> dict:

@@ -39,10 +39,12 @@ def sample_expr(term: str, log_weight: str, k: int) -> str:
             moved = f"({moved} & {2**bits - 1}L)"
         return f"(({moved} + 0.5D) * {2.0**-bits!r}D)"
 
-    r = f"(-ln({uniform(one, 32, 32)} * {uniform(one, 0, 32)}))"
-    c = f"(-ln({uniform(two, 43, 21)} * {uniform(two, 22, 21)}))"
+    minus_r = f"ln({uniform(one, 32, 32)} * {uniform(one, 0, 32)})"
+    log_c = f"ln(-ln({uniform(two, 43, 21)} * {uniform(two, 22, 21)}))"
     b = uniform(two, 0, 22)
-    return f"ln({c}) - {r} * (floor({log_weight} / {r} + {b}) - {b} + 1D)"
+    # Weight 1 is the common one, and then t is 0.
+    t = f"if({log_weight} = 0D, 0D, floor({b} - {log_weight} / {minus_r}))"
+    return f"{log_c} + {minus_r} * ({t} - {b} + 1D)"
 
 
 def samples(weighted: DataFrame, key: list[str], sides: list[str]) -> DataFrame:
