@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from .fingerprints import op1_fingerprints
+from .packing import op8_pack
 from .token_shards import op4_token_shards
 
-_QUERIES = [op1_fingerprints, op4_token_shards]
+_QUERIES = [op1_fingerprints, op4_token_shards, op8_pack]
 
 
 def queries() -> dict:
