@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from .fingerprints import op1_fingerprints
+from .near_duplicates import op6_near_duplicates
 from .packing import op8_pack
 from .token_shards import op4_token_shards
 
-_QUERIES = [op1_fingerprints, op4_token_shards, op8_pack]
+_QUERIES = [op1_fingerprints, op4_token_shards, op6_near_duplicates, op8_pack]
 
 
 def queries() -> dict:
