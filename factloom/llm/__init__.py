@@ -5,11 +5,13 @@ from __future__ import annotations
 from .fingerprints import op1_fingerprints
 from .near_duplicates import op6_near_duplicates
 from .packing import op8_pack
+from .personal_data import op3_personal_data
 from .quality import op9_quality
 from .token_shards import op4_token_shards
 
 _QUERIES = [
     op1_fingerprints,
+    op3_personal_data,
     op4_token_shards,
     op6_near_duplicates,
     op8_pack,
