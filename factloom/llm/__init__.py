@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .fingerprints import op1_fingerprints
+from .mixing import op2_mix
 from .near_duplicates import op6_near_duplicates
 from .packing import op8_pack
 from .personal_data import op3_personal_data
@@ -11,6 +12,7 @@ from .token_shards import op4_token_shards
 
 _QUERIES = [
     op1_fingerprints,
+    op2_mix,
     op3_personal_data,
     op4_token_shards,
     op6_near_duplicates,
