@@ -47,25 +47,39 @@ def sample_expr(term: str, log_weight: str, k: int) -> str:
     return f"{log_c} + {minus_r} * ({t} - {b} + 1D)"
 
 
-def samples(weighted: DataFrame, key: list[str], sides: list[str]) -> DataFrame:
-    """One row per ``key`` with an array of samples per side.
+def samples(weighted: DataFrame, key: list[str]) -> DataFrame:
+    """One row per ``key`` with the arrays ``one`` and ``two`` of samples.
 
-    ``weighted``: the key columns, ``term`` (a long hash) and one positive
-    weight per side, null where the term is not on that side.  The array of a
-    side without any term holds nulls.  The random numbers of a term are shared
-    by all sides.
+    ``weighted``: the key columns, ``term`` (a long hash) and the positive
+    weights ``one`` and ``two`` of the term in two texts of the same key, null
+    where the term is not in that text.  The array of a text without any term
+    holds nulls.  A term with the same weight in both texts is sampled once.
     """
-    logs = weighted.select(
-        *key, "term", *[F.ln(F.col(s)).alias(f"_ln_{s}") for s in sides]
+    w1, w2 = F.col("one"), F.col("two")
+    entry = lambda side, w: F.struct(F.lit(side).alias("side"), F.ln(w).alias("log"))
+    entries = (
+        F.when(w1.eqNullSafe(w2), F.array(entry(0, w1)))
+        .when(w2.isNull(), F.array(entry(1, w1)))
+        .when(w1.isNull(), F.array(entry(2, w2)))
+        .otherwise(F.array(entry(1, w1), entry(2, w2)))
     )
     least = [
-        F.expr(f"min({sample_expr('term', f'_ln_{s}', k)})").alias(f"_{s}_{k}")
+        F.expr(f"min({sample_expr('term', 'log', k)})").alias(f"_{k}")
         for k in range(SAMPLES)
-        for s in sides
     ]
-    return logs.groupBy(*key).agg(*least).select(
-        *key,
-        *[F.array(*[F.col(f"_{s}_{k}") for k in range(SAMPLES)]).alias(s) for s in sides],
+    parts = (
+        weighted.select(*key, "term", F.inline(entries))
+        .groupBy(*key, "side")
+        .agg(*least)
+    )
+    both = [
+        F.min(F.when(F.col("side") != 3 - text, F.col(f"_{k}"))).alias(f"_{text}_{k}")
+        for text in (1, 2)
+        for k in range(SAMPLES)
+    ]
+    array = lambda text: F.array(*[F.col(f"_{text}_{k}") for k in range(SAMPLES)])
+    return parts.groupBy(*key).agg(*both).select(
+        *key, array(1).alias("one"), array(2).alias("two")
     )
 
 
@@ -141,7 +155,7 @@ def op1_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     )
     rows = rows.withColumn("edited", F.coalesce("edited", "text"))  # guests: unused
     key = ["block", "at", "key", "real", "n_chars", "edited_sha256"]
-    rows = rows.withColumn("edited_sha256", F.sha2(F.col("edited").cast("binary"), 256))
+    rows = rows.withColumn("edited_sha256", F.unhex(F.sha2(F.col("edited").cast("binary"), 256)))
     sides = F.array(
         F.struct(F.lit(True).alias("own"), F.col("text").alias("text")),
         F.struct(F.lit(False).alias("own"), F.col("edited").alias("text")),
@@ -161,21 +175,21 @@ def op1_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
         )
     )
     weighted = words.groupBy(*key, "term").agg(
-        F.expr("nullif(sum(own), 0)").cast("double").alias("own"),
-        F.expr("nullif(sum(edit), 0)").cast("double").alias("edit"),
+        F.expr("nullif(sum(own), 0)").cast("double").alias("one"),
+        F.expr("nullif(sum(edit), 0)").cast("double").alias("two"),
     )
-    found = samples(weighted, key, ["own", "edit"])
+    found = samples(weighted, key)
     within = Window.partitionBy("block").orderBy("at")
     return (
-        found.withColumn("after", F.lead("own").over(within))
+        found.withColumn("after", F.lead("one").over(within))
         .filter("real")
         .select(
             F.when(F.col("key") != -(2**63), F.col("key")).alias("doc_id"),
             "n_chars",
-            "edited_sha256",
-            as_text(F.col("own")).alias("fingerprint"),
-            as_text(F.col("edit")).alias("edited_fingerprint"),
-            likeness(F.col("own"), F.col("edit")).alias("near_edited"),
-            likeness(F.col("own"), F.col("after")).alias("near_next"),
+            F.lower(F.hex("edited_sha256")).alias("edited_sha256"),
+            as_text(F.col("one")).alias("fingerprint"),
+            as_text(F.col("two")).alias("edited_fingerprint"),
+            likeness(F.col("one"), F.col("two")).alias("near_edited"),
+            likeness(F.col("one"), F.col("after")).alias("near_next"),
         )
     )
