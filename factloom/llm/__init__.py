@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from .exact_search import OP5_SQL, op5_exact_search
 from .fingerprints import op1_fingerprints
 from .mixing import op2_mix
 from .near_duplicates import op6_near_duplicates
 from .packing import op8_pack
 from .personal_data import op3_personal_data
 from .quality import op9_quality
+from .token_counts import op10_section_tokens
 from .token_shards import op4_token_shards
 
 _QUERIES = [
@@ -15,9 +17,11 @@ _QUERIES = [
     op2_mix,
     op3_personal_data,
     op4_token_shards,
+    op5_exact_search,
     op6_near_duplicates,
     op8_pack,
     op9_quality,
+    op10_section_tokens,
 ]
 
 
@@ -28,4 +32,4 @@ def queries() -> dict:
 
 def oracle_sql() -> dict[str, str]:
     """SQL twins of the queries that SQL can express."""
-    return {}
+    return {"op5_exact_search": OP5_SQL}

@@ -47,6 +47,7 @@ class Encoder:
 
         tokenizer = Tokenizer.from_file(path)
         tokenizer.encode_special_tokens = True
+        self.tokenizer = tokenizer
         self.encode = tokenizer.encode_batch_fast
         self.find = re.compile(CUTS[cut]).findall
         self.room = room
