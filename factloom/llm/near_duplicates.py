@@ -21,8 +21,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from .common import sort_key, stored
+from .common import partitions, sort_key, stored
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -224,15 +225,17 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     ``rep_id`` is the least id among documents with an equal text, ``class_id``
     the least one among all that are linked, directly or not, at a weighted
     Jaccard similarity of 0.8 or more; ``n_links`` counts the different texts
-    that the document's text was found to be linked to.  A null text is empty;
+    that the document's text was linked to on the way to its class, at least one
+    if it is not alone.  A null text is empty;
     all empty texts are one class.  Texts of fewer than five words are one
     shingle, so they link only to texts of the same words.  A null id counts as
-    the least id and is shown as null.  Repeated rows stay.
+    the least id and is shown as null.  Repeated rows stay; rows of one
+    id are one document, so the classes of their texts are one.
 
     Copies are one row from the first shuffle on.  In a band with many texts,
     all are compared with one hub, the text that meets the most others over all
-    bands; only texts that this leaves in different classes are compared with
-    each other.
+    bands; a band whose texts are one class by then is done.  In the others the
+    texts of different classes are compared without making pairs, see ``_rest``.
     """
     spark = documents.sparkSession
     rows = documents.select(
@@ -271,7 +274,15 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
         "reps",
     )
     banded = reps.select("rep", F.posexplode("bands").alias("band", "hash"))
-    shared = banded.groupBy("band", "hash").agg(F.count("*").alias("n")).filter("n > 1")
+    shared = (
+        banded.groupBy("band", "hash")
+        .agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("rep")).alias("set"))
+        .filter("n > 1")
+        # Bands that hold the same set of texts say the same: one of them stays.
+        .groupBy("n", "set")
+        .agg(F.min(F.struct("band", "hash")).alias("b"))
+        .select("b.band", "b.hash", "n")
+    )
     members = stored(banded.join(shared, ["band", "hash"]), "members")
     weight = members.groupBy("rep").agg(F.sum("n").alias("weight"))
     hubs = (
@@ -299,24 +310,7 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     links = stored(_verified(first, texts), "links")
     labels = _components(involved, links)
 
-    placed = stored(members.join(labels, "rep").select("band", "hash", "rep", "label"), "placed")
-    mixed = placed.groupBy("band", "hash").agg(
-        F.min("label").alias("low"), F.max("label").alias("high")
-    )
-    mixed = placed.join(mixed.filter("low != high"), ["band", "hash"])
-    other = mixed.select(
-        "band", "hash", F.col("rep").alias("other"), F.col("label").alias("label2")
-    )
-    tested = first.select(F.least("hub", "other").alias("hub"), F.greatest("hub", "other").alias("other"))
-    rest = (
-        mixed.withColumnRenamed("rep", "hub")
-        .join(other, ["band", "hash"])
-        .filter("hub < other and label != label2")
-        .select("hub", "other")
-        .distinct()
-        .join(tested, ["hub", "other"], "left_anti")
-    )
-    more = stored(_verified(stored(rest, "rest"), texts), "more-links")
+    more = stored(_rest(members.join(labels, "rep"), texts), "more-links")
     if more.head(1):
         links = links.unionByName(more)
         labels = _components(involved, links)
@@ -343,5 +337,105 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     )
 
 
+def _rest(members: DataFrame, texts: DataFrame, unit: int = 500) -> DataFrame:
+    """Links (hub, other) between classes that meet in a band.
+
+    ``members``: band, hash, rep, label, n.  Bands of two texts, or of one class,
+    are done.  A band of n texts is cut into about n / ``unit`` parts, and every
+    two parts meet in a unit of at most about 2 ``unit`` texts.  A unit counts
+    shared shingles through an index and returns no more links than join its
+    classes, so no table of pairs is made.
+    """
+    spark = members.sparkSession
+    mixed = members.groupBy("band", "hash").agg(
+        F.min("label").alias("low"), F.max("label").alias("high")
+    )
+    open_ = members.filter("n > 2").join(
+        mixed.filter("low != high").select("band", "hash"), ["band", "hash"]
+    )
+    open_ = open_.withColumn("parts", F.expr(f"int((n - 1) div {unit} + 1)"))
+    part = F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int")
+    cells = F.transform(
+        F.sequence(F.lit(0), F.col("parts") - 1),
+        lambda i: F.struct(F.least(i, part).alias("i"), F.greatest(i, part).alias("j")),
+    )
+    units = open_.withColumn("cell", F.explode(cells)).select(
+        "rep", "label", F.xxhash64("band", "hash", "cell.i", "cell.j").alias("unit")
+    )
+
+    def link(batches):
+        rows, now = [], None
+        for batch in batches:
+            found = []
+            for key, *row in batch[["unit", "rep", "label", "text"]].itertuples(index=False):
+                if key != now:
+                    found += _joined(rows)
+                    rows, now = [], key
+                rows.append(row)
+            yield pd.DataFrame(found, columns=["hub", "other"])
+        yield pd.DataFrame(_joined(rows), columns=["hub", "other"])
+
+    return (
+        units.join(texts, "rep")
+        .repartition(partitions(spark), "unit")
+        .sortWithinPartitions("unit")
+        .select("unit", "rep", "label", "text")
+        .mapInPandas(link, "hub long, other long")
+        .distinct()
+    )
+
+
+def _joined(rows: list) -> list[tuple[int, int]]:
+    """Links that join classes of ``rows`` (rep, label, text), all in one band."""
+    labels = [r[1] for r in rows]
+    if len(set(labels)) < 2:
+        return []
+    bag, hashes, counts = bags(*shingles([r[2] for r in rows]))
+    # The j-th occurrence of a shingle is an element of its own: then the overlap
+    # of two multisets is that of two sets.
+    turn = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+    with np.errstate(over="ignore"):
+        element = _mix(np.repeat(hashes, counts) + turn.astype(np.uint64) * _BASE)
+    owner = np.repeat(bag, counts)
+    sizes = np.bincount(owner, minlength=len(rows))
+    _, element = np.unique(element, return_inverse=True)
+    by_element = np.argsort(element, kind="stable")
+    holders = owner[by_element]
+    begin = np.concatenate([[0], np.cumsum(np.bincount(element))])
+    first = np.concatenate([[0], np.cumsum(sizes)])
+    names, root = np.unique(labels, return_inverse=True)
+    largest = np.argmax(np.bincount(root))
+    found = []
+    for i in np.flatnonzero(root != largest):  # every pair of classes has one outside
+        mine = element[first[i] : first[i + 1]]
+        others = [holders[begin[e] : begin[e + 1]] for e in mine]
+        if not others:
+            continue
+        both = np.bincount(np.concatenate(others), minlength=len(rows))
+        near = (both >= SIMILARITY * (sizes + sizes[i] - both)) & (root != root[i])
+        for j in np.flatnonzero(near):
+            if root[j] != root[i]:
+                found.append((rows[i][0], rows[j][0]))
+                root[root == root[j]] = root[i]
+    return found
+
+
+def one_of_each(documents: DataFrame) -> DataFrame:
+    """``documents`` with one row of each class of near-duplicates, all columns.
+
+    The document of least id stays; of several rows with that id, the one whose
+    text sorts first.
+    """
+    classes = near_duplicates(documents).filter(F.col("doc_id").eqNullSafe(F.col("class_id")))
+    kept = stored(classes.select(F.col("doc_id").alias("_id")).distinct(), "kept")
+    order = Window.partitionBy("doc_id").orderBy("text")
+    return (
+        documents.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+        .withColumn("_row", F.row_number().over(order))
+        .filter("_row = 1")
+        .drop("_row")
+    )
+
+
 def op6_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{folder}/documents.parquet"))
