@@ -11,6 +11,7 @@ from .personal_data import op3_personal_data
 from .quality import op9_quality
 from .token_counts import op10_section_tokens
 from .token_shards import op4_token_shards
+from .url_filter import op7_url_filter
 
 _QUERIES = [
     op1_fingerprints,
@@ -19,6 +20,7 @@ _QUERIES = [
     op4_token_shards,
     op5_exact_search,
     op6_near_duplicates,
+    op7_url_filter,
     op8_pack,
     op9_quality,
     op10_section_tokens,
