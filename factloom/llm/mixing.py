@@ -31,7 +31,7 @@ CAP = 3
 #: Relative distance to the target at which a source's multiplier is settled.
 CLOSE = 1e-9
 #: Newton steps between two looks at how far the sources are from their target.
-STEPS, ROUNDS = 6, 40
+STEPS, ROUNDS = 4, 60
 
 
 def sized(documents: DataFrame) -> DataFrame:
@@ -82,7 +82,8 @@ def multipliers(table: DataFrame, wanted: DataFrame) -> DataFrame:
     source whose target is its cap, or that has no words, has multiplier null.
     """
     means = table.groupBy("source").agg(
-        (F.sum(F.col("size") * F.col("n")) / F.sum("n")).alias("mean"),
+        # A source without words has no scale of its own.
+        F.greatest(F.sum(F.col("size") * F.col("n")) / F.sum("n"), F.lit(1.0)).alias("mean"),
         F.min(F.when(F.col("size") > 0, F.col("size"))).alias("least"),
     )
     state = null_safe_join(wanted, means, ["source"])
@@ -113,37 +114,36 @@ def multipliers(table: DataFrame, wanted: DataFrame) -> DataFrame:
 def _step(table: DataFrame, state: DataFrame) -> DataFrame:
     """One Newton step of every source that is not done, inside its bracket."""
     x = F.col("size") / F.col("mean")
-    rate = F.least(F.exp(F.col("at") * x), F.lit(float(CAP)))
-    words = F.col("n") * F.col("size") * rate
-    open_ = state.filter("not done").select("source", "mean", "at")
-    sums = (
-        null_safe_join(table, open_, ["source"])
-        .groupBy("source")
+    rate = F.exp(F.col("at") * x)
+    words = F.col("n") * F.col("size")
+    keys = ["source", "source_size", "target", "mean", "at", "low", "high", "done"]
+    rows = (
+        null_safe_join(table, state, ["source"])
+        .groupBy(*keys)
         .agg(
-            F.sum(words).alias("taken"),
-            F.sum(F.when(rate < CAP, words * x).otherwise(0.0)).alias("slope"),
+            F.sum(words * F.when(rate < CAP, rate).otherwise(float(CAP))).alias("taken"),
+            F.sum(F.when(rate < CAP, words * x * rate).otherwise(0.0)).alias("slope"),
         )
     )
-    right = sums.withColumnRenamed("source", "_source")
-    rows = state.join(right, state["source"].eqNullSafe(right["_source"]), "left")
     gap = F.col("taken") - F.col("target")
     low = F.when(gap < 0, F.col("at")).otherwise(F.col("low"))
     high = F.when(gap > 0, F.col("at")).otherwise(F.col("high"))
-    step = F.when(F.col("slope") > 0, F.col("at") - gap / F.col("slope"))
-    inside = (step > low) & (step < high)
-    close = F.abs(gap) <= CLOSE * F.col("target")
-    tight = (high - low) <= 1e-13 * (F.abs(high) + F.abs(low))
-    moved = F.when(inside, step).otherwise((low + high) / 2)
-    old = F.col("done") | F.col("taken").isNull()
+    rows = rows.select(*keys, gap.alias("gap"), "slope", low.alias("low2"), high.alias("high2"))
+    step = F.when(F.col("slope") > 0, F.col("at") - F.col("gap") / F.col("slope"))
+    inside = (step > F.col("low2")) & (step < F.col("high2"))
+    close = F.abs("gap") <= CLOSE * F.col("target")
+    width = F.abs(F.col("high2")) + F.abs(F.col("low2"))
+    tight = (F.col("high2") - F.col("low2")) <= 1e-13 * width
+    moved = F.when(inside, step).otherwise((F.col("low2") + F.col("high2")) / 2)
     return rows.select(
         "source",
         "source_size",
         "target",
         "mean",
-        F.when(old | close, F.col("at")).otherwise(moved).alias("at"),
-        F.when(old, F.col("low")).otherwise(low).alias("low"),
-        F.when(old, F.col("high")).otherwise(high).alias("high"),
-        (old | close | tight).alias("done"),
+        F.when(F.col("done") | close, F.col("at")).otherwise(moved).alias("at"),
+        F.when(F.col("done"), F.col("low")).otherwise(F.col("low2")).alias("low"),
+        F.when(F.col("done"), F.col("high")).otherwise(F.col("high2")).alias("high"),
+        (F.col("done") | close | tight).alias("done"),
     )
 
 
