@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from factloom.llm.common import stored, table
+from factloom.llm.common import restored, shielded, stored, table
 from factloom.llm.mixing import with_copies
 from factloom.llm.near_duplicates import one_of_each
 from factloom.llm.packing import pack
@@ -25,7 +25,9 @@ ORACLE_SQL = None
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality model rejects go."""
-    return judged(docs, table(spark, sf_dir, "labels")).filter("keep").select(docs.columns)
+    needed = ("doc_id", "text", "lang")
+    rows = judged(shielded(docs, needed), table(spark, sf_dir, "labels"))
+    return restored(rows.filter("keep"), docs.columns, needed)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

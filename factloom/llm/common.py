@@ -43,6 +43,21 @@ def stored(rows: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def shielded(rows: DataFrame, needed: tuple[str, ...]) -> DataFrame:
+    """``rows`` with all columns but ``needed`` under names nothing else uses."""
+    return rows.select(
+        *needed,
+        *[F.col(c).alias(f"__{i}") for i, c in enumerate(rows.columns) if c not in needed],
+    )
+
+
+def restored(rows: DataFrame, columns: list[str], needed: tuple[str, ...]) -> DataFrame:
+    """The ``columns`` of the frame that was ``shielded``, in their order."""
+    return rows.select(
+        *[F.col(c if c in needed else f"__{i}").alias(c) for i, c in enumerate(columns)]
+    )
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

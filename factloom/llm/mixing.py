@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import null_safe_join, numbered, stored
+from .common import null_safe_join, numbered, restored, shielded, stored
 
 CAP = 3
 #: Relative distance to the target at which a source's multiplier is settled.
@@ -166,9 +166,7 @@ def _rounded(rows: pd.DataFrame) -> pd.DataFrame:
 def mix(documents: DataFrame, weights: tuple[int, ...] = (1, 2, 3)) -> DataFrame:
     """One row per row of ``documents`` (doc_id, source, text).
 
-    Returns uid, doc_id, source, size, source_size, target, rate and copies;
-    ``uid`` numbers the rows of ``documents`` as they are read, see
-    ``with_copies``.  A null source is a source of its own, a null text has no
+    Returns doc_id, source, size, source_size, target, rate and copies.  A null source is a source of its own, a null text has no
     words.  Repeated rows each count.  An empty table gives no rows.
 
     A document's copies depend on its id, size and source and on the table, not
@@ -209,18 +207,16 @@ def with_copies(documents: DataFrame, weights: tuple[int, ...] = (1, 2, 3)) -> D
 
     All columns stay.  Rows that the mix takes no copy of are left out.
     """
-    names = documents.columns
-    held = stored(
-        documents.withColumn("_uid", F.monotonically_increasing_id()), "to-mix"
-    )
-    # The id orders a row among equals; the uid finds it again.
-    narrow = sized(held).select("doc_id", "source", "size", "_uid")
-    copies = _mixed(stored(narrow, "sizes"), weights).select("_uid", "copies")
-    return (
-        held.join(copies.filter("copies > 0"), "_uid")
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
-        .select(*names)
+    needed = ("doc_id", "source", "text")
+    held = shielded(documents, needed).withColumn("uid", F.monotonically_increasing_id())
+    held = stored(held, "to-mix")
+    # Ranks go by the id; the uid finds the row again.
+    narrow = sized(held).select("doc_id", "source", "size", "uid")
+    copies = _mixed(stored(narrow, "sizes"), weights).select("uid", "copies")
+    rows = held.join(copies.filter("copies > 0"), "uid").withColumn(
+        "copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))
     )
+    return restored(rows, documents.columns, needed)
 
 
 def op2_mix(spark: SparkSession, folder: str) -> DataFrame:

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import partitions, sort_key, stored
+from .common import partitions, restored, shielded, sort_key, stored
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -428,13 +428,15 @@ def one_of_each(documents: DataFrame) -> DataFrame:
     """
     classes = near_duplicates(documents).filter(F.col("doc_id").eqNullSafe(F.col("class_id")))
     kept = stored(classes.select(F.col("doc_id").alias("_id")).distinct(), "kept")
+    needed = ("doc_id", "text")
     order = Window.partitionBy("doc_id").orderBy("text")
-    return (
-        documents.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-        .withColumn("_row", F.row_number().over(order))
-        .filter("_row = 1")
-        .drop("_row")
+    rows = (
+        shielded(documents, needed)
+        .join(kept, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+        .withColumn("row", F.row_number().over(order))
+        .filter("row = 1")
     )
+    return restored(rows, documents.columns, needed)
 
 
 def op6_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
