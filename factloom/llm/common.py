@@ -43,6 +43,17 @@ def stored(rows: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+#: A side of narrow rows (some numbers each) up to this many is broadcast, at
+#: most about 200 MB; a larger one is shuffled.
+FEW = 4_000_000
+
+
+def if_few(rows: DataFrame) -> DataFrame:
+    """``rows``, which must be narrow and cheap to count, marked for broadcast
+    if they are at most ``FEW``."""
+    return F.broadcast(rows) if rows.count() <= FEW else rows
+
+
 def shielded(rows: DataFrame, needed: tuple[str, ...]) -> DataFrame:
     """``rows`` with all columns but ``needed`` under names nothing else uses."""
     return rows.select(

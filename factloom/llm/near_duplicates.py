@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import partitions, restored, shielded, sort_key, stored
+from .common import if_few, partitions, restored, shielded, sort_key, stored
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -283,6 +283,7 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
         .agg(F.min(F.struct("band", "hash")).alias("b"))
         .select("b.band", "b.hash", "n")
     )
+    shared = if_few(stored(shared, "shared"))
     members = stored(banded.join(shared, ["band", "hash"]), "members")
     weight = members.groupBy("rep").agg(F.sum("n").alias("weight"))
     hubs = (
@@ -298,9 +299,9 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
         .distinct(),
         "pairs",
     )
-    involved = members.select("rep").distinct()
+    involved = stored(members.select("rep").distinct(), "involved")
     texts = (
-        rows.join(involved, rows["key"] == involved["rep"])
+        rows.join(if_few(involved), rows["key"] == involved["rep"])
         .groupBy("rep", "h1", "h2")
         .agg(F.any_value("text").alias("text"))
         .join(reps.select("rep", "h1", "h2"), ["rep", "h1", "h2"])
