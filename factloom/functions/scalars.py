@@ -59,7 +59,8 @@ def finite_number(text: Column) -> Column:
 
 def number_text(num: Column) -> Column:
     """One spelling per number: whole numbers without a fraction part."""
-    whole = (num == F.floor(num)) & (F.abs(num) < F.lit(1e15))
+    # Beyond a long every double is whole; such numbers keep Spark's spelling.
+    whole = (F.abs(num) < F.lit(9.2e18)) & (num == F.rint(num))
     return F.when(whole, num.cast("bigint").cast("string")).otherwise(
         num.cast("string")
     )
@@ -182,8 +183,11 @@ def clean_space(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, "[\\s\\u00A0\\u202F]+", " "))
 
 
-def column_letters(number: Column, letters: int = 7) -> Column:
-    """Spreadsheet column number to letters (bijective base 26)."""
+def column_letters(number: Column, letters: int = 14) -> Column:
+    """Spreadsheet column number to letters (bijective base 26).
+
+    Fourteen letters hold every bigint.
+    """
 
     def add_letter(state: Column, _: Column) -> Column:
         rest, name = state["rest"], state["name"]
@@ -191,7 +195,7 @@ def column_letters(number: Column, letters: int = 7) -> Column:
         return F.when(
             rest > 0,
             F.struct(
-                F.floor((rest - 1) / 26).alias("rest"),
+                F.call_function("div", rest - 1, F.lit(26)).alias("rest"),
                 F.concat(letter, name).alias("name"),
             ),
         ).otherwise(state)

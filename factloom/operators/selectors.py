@@ -106,7 +106,7 @@ def sum_row_ranges(
         F.sum("_hit").alias("_found"),
         F.count("value_num").alias("_numeric"),
         expected.alias("_expected"),
-        F.sum(F.col("value_num").cast("decimal(38,6)")).alias("_total"),
+        F.sum(F.col("value_num").cast("double")).alias("_total"),
     )
     checked = ranges.select("range_id", "row_from", "row_to").join(
         totals, "range_id", "left"
@@ -119,7 +119,7 @@ def sum_row_ranges(
     return checked.select(
         "range_id",
         issue.alias("issue"),
-        F.when(issue.isNull(), F.col("_total").cast("double")).alias("value"),
+        F.when(issue.isNull(), F.col("_total")).alias("value"),
     )
 
 

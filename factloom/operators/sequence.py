@@ -23,7 +23,8 @@ def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "
     test = F.lit(True)
     for key in keys:
         test = test & F.col(key).eqNullSafe(F.col(f"_r_{key}"))
-    return left.join(renamed, test, how).drop(*[f"_r_{key}" for key in keys])
+    joined = left.join(renamed, test, how)
+    return joined.drop(*[f"_r_{key}" for key in keys])
 
 
 def number_rows(

@@ -81,35 +81,40 @@ def unknown_keys() -> Column:
     return F.array_except(F.map_keys("selector"), known)
 
 
-def signatures(targets: DataFrame, most: int = 256) -> list[tuple[str, ...]]:
+def signatures(targets: DataFrame) -> list[tuple[str, ...]]:
     """Distinct sets of selector keys in use.
 
-    There are thirteen keys and profiles use a few combinations, so the list
-    is short whatever the number of targets; more than ``most`` is refused.
+    Thirteen keys allow 8 192 sets whatever the number of targets; profiles use
+    a few.
     """
     combos = targets.select(F.array_sort(F.map_keys("selector")).alias("s")).distinct()
-    found = combos.limit(most + 1).collect()
-    if len(found) > most:
-        raise ValueError(f"more than {most} different selector key sets")
-    return sorted(tuple(row["s"]) for row in found)
+    return sorted(tuple(row["s"]) for row in combos.collect())
 
 
 def selector_key() -> Column:
-    """Comparable text of a selector: its keys and values in key order."""
+    """Comparable text of a selector: its keys and values in key order.
+
+    A null value is marked, so that it meets facts without that value only.
+    """
     return F.array_join(
         F.transform(
             F.array_sort(F.map_entries("selector")),
-            lambda item: F.concat(item["key"], F.lit("="), C.escape(item["value"])),
+            lambda item: F.concat(item["key"], stated(item["value"])),
         ),
         "|",
     )
 
 
+def stated(value: Column) -> Column:
+    """``=value``, or a mark that no escaped value gives."""
+    return F.coalesce(F.concat(F.lit("="), C.escape(value)), F.lit("!"))
+
+
 def fact_selector_key(keys: Sequence[str]) -> Column:
-    """The same text for a fact; null where the fact lacks one of the keys."""
+    """The same text for a fact."""
     parts = []
     for key in keys:
-        parts += [F.lit(f"{'|' if parts else ''}{key}="), C.escape(F.col(key))]
+        parts += [F.lit(f"{'|' if parts else ''}{key}"), stated(F.col(key))]
     return F.concat(*parts) if parts else F.lit("")
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from factloom.functions import keys as K
-from factloom.operators.sequence import first_wins
+from factloom.operators.sequence import first_wins, join_on
 
 # --- fixed values: shares of returns, income and tax by income bracket --------
 BRACKET_SHARES = [
@@ -117,7 +117,7 @@ def insert_if_absent(
 ) -> DataFrame:
     """Append loaded rows whose key is not stored; first loaded row wins."""
     first = first_wins(loaded, keys, [order])
-    fresh = first.join(stored.select(*keys), list(keys), "left_anti")
+    fresh = join_on(first, stored.select(*keys), keys, "left_anti")
     return stored.unionByName(fresh)
 
 

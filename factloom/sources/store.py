@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from factloom.functions import canonical as C
 from factloom.functions import keys as K
 from factloom.operators.coverage import side_by_side
-from factloom.operators.sequence import first_wins
+from factloom.operators.sequence import first_wins, join_on
 from factloom.plans import facts as P
 
 # Primary keys of the snapshot tables.
@@ -143,15 +143,18 @@ def manifest(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``source`` replace the rows of ``target`` with the same key."""
-    kept = target.join(source.select(*keys), list(keys), "left_anti")
+    """Rows of ``source`` replace the rows of ``target`` with the same key.
+
+    Null key parts are equal.
+    """
+    kept = join_on(target, source.select(*keys), keys, "left_anti")
     return kept.unionByName(source)
 
 
 def upsert_counts(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Dry run: how many rows would be inserted and updated."""
     known = target.select(*keys).withColumn("_known", F.lit(True))
-    marked = source.select(*keys).join(known, list(keys), "left")
+    marked = join_on(source.select(*keys), known, keys)
     return marked.agg(
         F.count_if(F.col("_known").isNull()).alias("inserted"),
         F.count_if(F.col("_known").isNotNull()).alias("updated"),

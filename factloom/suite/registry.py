@@ -39,7 +39,7 @@ def table(
 # --- SQL text helpers shared by the oracles ----------------------------------
 def sql_number_text(x: str) -> str:
     return (
-        f"(CASE WHEN {x} = floor({x}) AND abs({x}) < 1e15 "
+        f"(CASE WHEN {x} = floor({x}) AND abs({x}) < 9.2e18 "
         f"THEN CAST(CAST({x} AS BIGINT) AS VARCHAR) ELSE CAST({x} AS VARCHAR) END)"
     )
 

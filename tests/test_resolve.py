@@ -126,3 +126,15 @@ def test_materialised_facts_equal_the_lazy_ones(spark):
     assert sorted(copy.collect()) == sorted(plain.collect())
     if checkpoint_dir(spark) is not None:
         assert all("test-facts" in name for name in copy.inputFiles())
+
+
+def test_a_null_selector_value_meets_only_facts_without_it(spark):
+    targets = spark.createDataFrame(
+        [(1, {"source_name": None}), (2, {})], "target_id int, selector map<string,string>"
+    )
+    facts = spark.createDataFrame([("a",), (None,)], "source_name string")
+    keys = {r["target_id"]: r["k"] for r in targets.select("target_id", PR.selector_key().alias("k")).collect()}
+    found = facts.select("source_name", PR.fact_selector_key(["source_name"]).alias("k")).collect()
+    by = {r["source_name"]: r["k"] for r in found}
+    assert by[None] == keys[1] and by["a"] != keys[1] and keys[2] == ""
+    assert len({*PR.signatures(targets)}) == 2

@@ -164,3 +164,26 @@ def test_render_template(spark):
         ("02023", None),
         ("F2024", None),
     ]
+
+
+def test_letters_and_numbers_past_their_old_limits(spark):
+    from factloom.operators import selectors as L
+
+    def letters(n):
+        out = ""
+        while n:
+            n, rest = divmod(n - 1, 26)
+            out = chr(65 + rest) + out
+        return out
+
+    numbers = [1, 26, 27, 9_000_000_000, 2**53 + 3, 2**63 - 1]
+    rows = spark.createDataFrame([(n,) for n in numbers], "n long")
+    found = rows.select("n", S.column_letters(F.col("n")).alias("l")).collect()
+    assert all(r["l"] == letters(r["n"]) for r in found)
+    text = spark.createDataFrame([(4e15,), (2.5,), (-3.0,)], "x double")
+    texts = text.select(S.number_text(F.col("x")).alias("t")).collect()
+    assert [r["t"] for r in texts] == ["4000000000000000", "2.5", "-3"]
+    ranges = spark.createDataFrame([(1, 1, 2)], "range_id int, row_from int, row_to int")
+    cells = spark.createDataFrame([(1, 4e-7), (2, 4e-7)], "row int, value_num double")
+    total = L.sum_row_ranges(ranges, cells, []).first()["value"]
+    assert abs(total - 8e-7) < 1e-15

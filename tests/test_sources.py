@@ -160,3 +160,37 @@ def test_stored_files(spark, tmp_path):
     )
     found = {r["entry"]: r["issue"] for r in PRU.file_inventory(manifest, files).collect()}
     assert found == {1: None, 2: "missing_file", 3: "missing_filename"}
+
+
+def test_each_file_has_its_own_header_and_blank_records_stay(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("x,y\n1,2\n\n3,4\n")
+    (tmp_path / "b.csv").write_text("y,x\n2,1\n")
+    rows = D.read_delimited(spark, str(tmp_path)).collect()
+    found = sorted(
+        (r["file"][-5:], r["row_number"], sorted((v["name"], v["text"]) for v in r["values"]))
+        for r in rows
+    )
+    assert found == [
+        ("a.csv", 2, [("x", "1"), ("y", "2")]),
+        ("a.csv", 3, [("x", None), ("y", None)]),
+        ("a.csv", 4, [("x", "3"), ("y", "4")]),
+        ("b.csv", 2, [("x", "1"), ("y", "2")]),
+    ]
+
+
+def test_a_json_object_lands_its_entries(spark, tmp_path):
+    (tmp_path / "k.json").write_text('{"a": 1, "b": {"c": 2}}')
+    rows = D.land_file(spark, str(tmp_path / "k.json")).orderBy("row_number").collect()
+    assert [(r["row_number"], r["values_json"]) for r in rows] == [
+        (1, '{"key":"a","value":"1"}'),
+        (2, '{"key":"b","value":"{\\"c\\":2}"}'),
+    ]
+
+
+def test_upsert_with_null_key_parts(spark):
+    stored = spark.createDataFrame([(1, None, "a"), (2, "x", "b")], "k int, p string, v string")
+    loaded = spark.createDataFrame([(1, None, "c"), (3, None, "d")], "k int, p string, v string")
+    found = ST.upsert(stored, loaded, ["k", "p"]).collect()
+    assert sorted(map(tuple, found), key=str) == [(1, None, "c"), (2, "x", "b"), (3, None, "d")]
+    counts = ST.upsert_counts(stored, loaded, ["k", "p"]).first()
+    assert tuple(counts) == (1, 1)
