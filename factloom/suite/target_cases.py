@@ -429,6 +429,64 @@ items AS (SELECT *, CASE WHEN stage = 'existing_source_package' THEN 105 WHEN st
     WHEN format = '.csv' THEN 80 WHEN format = '.pdf' THEN 70 WHEN stage = 'source_cell_scaffold' THEN 65 ELSE 50 END AS priority FROM items1)"""
 
 
+# --- fixed values: the rule tables of the source inventory --------------------
+AGGREGATOR = {"source_id": ["fred"]}
+BULK = {"pipeline": ["local-geography-source-documents"]}
+PIPELINES = [
+    "national-soi-workbooks",
+    "cbo-source-documents",
+    "snap-source-documents",
+    "tanf-source-documents",
+    "medicaid-source-documents",
+    "tax-expenditure-source-documents",
+    "health-source-documents",
+    "ssa-source-documents",
+    "macro-source-documents",
+    "medicare-source-documents",
+]
+STAGES = [
+    ("existing_source_package", {"existing_package": None}),
+    ("blocked_or_deferred", {"source_status": ["blocked", "deferred"]}),
+    ("existing_source_package", {"source_status": ["source_package"]}),
+    ("source_cell_scaffold", {"source_status": ["row_parsed"]}),
+    (
+        "repair_artifact_ingest",
+        {"source_status": ["fetch_error", "identity_mismatch", "parsed_no_rows"]},
+    ),
+    ("find_primary_source", AGGREGATOR),
+    ("fetch_artifact", {"artifact_kind": ["url"]}),
+    ("register_local_artifact", {"exists_locally": ["yes"]}),
+    ("blocked_missing_local_artifact", {}),
+]
+SCAFFOLD = {"stage": ["source_cell_scaffold"]}
+PRIORITIES = [
+    (105, {"stage": ["existing_source_package"]}),
+    (10, {"stage": ["blocked_or_deferred"]}),
+    (75, {"stage": ["find_primary_source"]}),
+    (70, AGGREGATOR),
+    (20, BULK),
+    (100, {"pipeline": PIPELINES[:1]}),
+    (95, {**SCAFFOLD, "artifact_role": ["publisher_source"]}),
+    (90, {"pipeline": PIPELINES}),
+    (85, {"format": [".xls", ".xlsx", ".ods"]}),
+    (80, {"format": [".csv", ".csv.gz", ".json", ".txt"]}),
+    (70, {"format": [".html", ".pdf"]}),
+    (65, SCAFFOLD),
+    (50, {}),
+]
+BLOCKERS = [
+    ("publisher_source_required", {"stage": ["find_primary_source"]}),
+    ("publisher_not_identified", {"stage": ["find_primary_source"], "no_publisher": [True]}),
+    ("bulk_local_geography_source", BULK),
+    ("needs_format_specific_source_cell_parser", {**SCAFFOLD, "format": [".zip", ".pdf"]}),
+    ("local_artifact_missing", {"stage": ["blocked_missing_local_artifact"]}),
+    (("column", "source_status"), {"stage": ["repair_artifact_ingest"]}),
+    (("column", "source_status"), {"stage": ["blocked_or_deferred"]}),
+    (("column", "cell_status"), {"stage": ["blocked_or_deferred"], "cell_status": None}),
+]
+# ------------------------------------------------------------------------------
+
+
 def work_items(spark, sf):
     cust, status = F.col("o_custkey"), F.col("o_orderstatus")
     order_priority = F.col("o_orderpriority")
@@ -460,7 +518,9 @@ def work_items(spark, sf):
         F.when(status == "F", "cells_missing").otherwise("").alias("cell_status"),
         F.when(status == "O", "bea").alias("publisher"),
     )
-    return PW.classify(items)
+    items = items.withColumn("no_publisher", F.col("publisher").isNull())
+    items = PW.classify(items, STAGES, PRIORITIES, BLOCKERS)
+    return items.drop("no_publisher")
 
 
 @query(
