@@ -44,25 +44,28 @@ def _band(lo: Column, hi: Column | None) -> Column:
     ).cast(BAND)
 
 
+#: Grammar of an age label: who, the first age, then one of four endings.
+AGE_LABEL = (
+    r"(?i)\b(aged?|female)\s+([0-9]+)"
+    r"(?:\s*(?:[-–]|to)\s*([0-9]+)\b"  # a span
+    r"|\s+and\s+([0-9]+)\s+years?\b"  # two single years
+    r"|(\s+years?)\b"  # one year
+    r"|(\s+and\s+over)\b)"  # open; not said of women alone
+)
+SINGLE_AGE = r"^([0-9]+)(?:\.0+)?$"
+
+
 def age_band(label: Column) -> Column:
     """Age label to ``struct<lo, hi>``, upper bound exclusive, null = open."""
     text = strip(label)
-
-    def part(pattern: str, group: int) -> Column:
-        return F.regexp_extract(text, pattern, group).try_cast("bigint")
-
-    span = r"(?i)\b(?:aged?|female)\s+([0-9]+)\s*(?:[-–]|to)\s*([0-9]+)\b"
-    pair = r"(?i)\b(?:aged?|female)\s+([0-9]+)\s+and\s+([0-9]+)\s+years?\b"
-    single = r"(?i)\b(?:aged?|female)\s+([0-9]+)\s+years?\b"
-    above = r"(?i)\baged?\s+([0-9]+)\s+and\s+over\b"
-    bare = r"^([0-9]+)(?:\.0+)?$"
-    return (
-        F.when(text.rlike(bare), _band(part(bare, 1), part(bare, 1) + 1))
-        .when(text.rlike(span), _band(part(span, 1), part(span, 2) + 1))
-        .when(text.rlike(pair), _band(part(pair, 1), part(pair, 2) + 1))
-        .when(text.rlike(single), _band(part(single, 1), part(single, 1) + 1))
-        .when(text.rlike(above), _band(part(above, 1), None))
-    )
+    said = lambda group: F.nullif(F.regexp_extract(text, AGE_LABEL, group), F.lit(""))
+    bare = F.nullif(F.regexp_extract(text, SINGLE_AGE, 1), F.lit("")).try_cast("bigint")
+    low = F.coalesce(bare, said(2).try_cast("bigint"))
+    last = F.coalesce(said(3), said(4)).try_cast("bigint")
+    is_open = bare.isNull() & said(6).isNotNull()
+    fits = low.isNotNull() & ~(is_open & (F.lower(said(1)) == "female"))
+    high = F.when(~is_open, F.coalesce(F.when(bare.isNull(), last), low) + 1)
+    return F.when(fits, _band(low, high))
 
 
 def age_code_band(code: Column) -> Column:
@@ -75,36 +78,26 @@ def age_code_band(code: Column) -> Column:
     )
 
 
-def _income_number(text: Column) -> Column:
-    shape = r"^([0-9]+(?:\.[0-9]+)?)([km])?$"
-    unit = F.regexp_extract(text, shape, 2)
-    factor = F.when(unit == "k", 1e3).when(unit == "m", 1e6).otherwise(F.lit(1.0))
-    return F.when(
-        text.rlike(shape), F.regexp_extract(text, shape, 1).try_cast("double") * factor
-    )
+_AMOUNT = r"([0-9]+(?:\.[0-9]+)?)([km]?)"
+#: Grammar of an income label; each amount is two groups, digits and unit.
+INCOME_LABEL = rf"^(?:(all)|under_{_AMOUNT}|{_AMOUNT}_plus|{_AMOUNT}_to_{_AMOUNT})$"
 
 
 def income_bounds(label: Column) -> Column:
     """Income-range label to ``struct<lo, hi>``; null when not a range label."""
     text = F.lower(F.trim(label))
-    under = _income_number(F.regexp_extract(text, "^under_(.*)$", 1))
-    plus = _income_number(F.regexp_extract(text, "^(.*)_plus$", 1))
-    low = _income_number(F.regexp_extract(text, "^(.*?)_to_(.*)$", 1))
-    high = _income_number(F.regexp_extract(text, "^(.*?)_to_(.*)$", 2))
-
-    def bounds(lo: Column, hi: Column) -> Column:
-        return F.struct(lo.cast("double").alias("lo"), hi.cast("double").alias("hi"))
-
-    none = F.lit(None)
-    return (
-        F.when(text == "all", bounds(none, none))
-        .when(text.startswith("under_"), F.when(under.isNotNull(), bounds(none, under)))
-        .when(text.endswith("_plus"), F.when(plus.isNotNull(), bounds(plus, none)))
-        .when(
-            text.contains("_to_"),
-            F.when(low.isNotNull() & high.isNotNull(), bounds(low, high)),
-        )
+
+    def amount(group: int) -> Column:
+        unit = F.regexp_extract(text, INCOME_LABEL, group + 1)
+        factor = F.when(unit == "k", 1e3).when(unit == "m", 1e6).otherwise(1.0)
+        digits = F.nullif(F.regexp_extract(text, INCOME_LABEL, group), F.lit(""))
+        return digits.try_cast("double") * factor
+
+    bounds = F.struct(
+        F.coalesce(amount(4), amount(6)).alias("lo"),
+        F.coalesce(amount(2), amount(8)).alias("hi"),
     )
+    return F.when(text.rlike(INCOME_LABEL), bounds)
 
 
 def band_contains(outer: Column, inner: Column) -> Column:
