@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Sequence
+from html.parser import HTMLParser
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -24,6 +27,100 @@ PIECES = (
 )
 
 
+# A page is a stream of events, one letter each: T t top-level table, R r row of
+# it, C c cell, B line break, A-H a-h the block tags outside tables, x anything
+# else.  What the page holds is then found by patterns over the letters.
+_TABLE = re.compile("T[^t]*t")
+_ROW = re.compile("R[^Rr]*r")
+_CELL = re.compile("C[^Cc]*c")
+_INSIDE_TABLE = re.compile("T[^t]*(?:t|$)")
+_OPEN = dict(zip(BLOCK_TAGS, "ADEFGHIJ"))
+_BLOCK = re.compile(
+    "|".join(f"{mark}[^{mark.lower()}]*(?:{mark.lower()}|$)" for mark in _OPEN.values())
+)
+_MARKED = {mark: tag for tag, mark in _OPEN.items()}
+
+
+class _Events(HTMLParser):
+    """The letters of a page, with the text and the column span of each."""
+
+    def __init__(self, html: str):
+        super().__init__(convert_charrefs=True)
+        self.letters, self.texts, self.spans, self.nested = [], [], [], 0
+        self.feed(html)
+        self.close()
+
+    def note(self, letter: str, text: str = "", span: int = 1) -> None:
+        self.letters.append(letter)
+        self.texts.append(text)
+        self.spans.append(span)
+
+    def handle_starttag(self, tag, attrs):
+        if tag == "table":
+            self.nested += 1
+        inside = self.nested > 0
+        if tag in ("td", "th") and inside:
+            wide = (dict(attrs).get("colspan") or "").strip()
+            self.note("C", span=max(1, int(wide)) if wide.isdigit() else 1)
+        elif tag == "br":
+            self.note("B", " ")
+        elif self.nested == 1 and tag in ("table", "tr"):
+            self.note("T" if tag == "table" else "R")
+        elif not inside and tag in _OPEN:
+            self.note(_OPEN[tag])
+
+    def handle_endtag(self, tag):
+        if tag == "table" and self.nested:
+            self.nested -= 1
+            self.note("x" if self.nested else "t")
+        elif self.nested:
+            self.note({"tr": "r", "td": "c", "th": "c"}.get(tag, "x"))
+        elif tag in _OPEN:
+            self.note(_OPEN[tag].lower())
+
+    def handle_data(self, data):
+        self.note("x", data)
+
+
+def _plain(parts: Sequence[str]) -> str:
+    return " ".join("".join(parts).split())
+
+
+def _pieces(html: str) -> Iterator[tuple]:
+    """(kind, sheet, row, col, tag, text) of one page."""
+    events = _Events(html)
+    letters, texts = "".join(events.letters), events.texts
+    for sheet, table in enumerate(_TABLE.finditer(letters), 1):
+        grid = []
+        for row in _ROW.finditer(letters, *table.span()):
+            cells = [m.span() for m in _CELL.finditer(letters, *row.span())]
+            grid.append([_plain(texts[a:b]) for a, b in cells for _ in range(events.spans[a])])
+        filled = [(r, c) for r, line in enumerate(grid, 1) for c, t in enumerate(line, 1) if t]
+        height, width = (max(x, default=0) for x in (zip(*filled) if filled else ((), ())))
+        for r, line in enumerate(grid[:height], 1):
+            padded = (line + [""] * width)[:width]
+            for c, text in enumerate(padded, 1):
+                yield "cell", sheet, r, c, None, text or None
+    outside = [i for a, b in _gaps(letters) for i in range(a, b)]
+    flow = "".join(letters[i] for i in outside)
+    index = 0
+    for block in _BLOCK.finditer(flow):
+        mark = block[0][0]
+        text = _plain([texts[i] for i in outside[block.start() : block.end()]])
+        if text and block[0][-1] == mark.lower():
+            index += 1
+            yield "block", None, index, None, _MARKED[mark], text
+
+
+def _gaps(letters: str) -> Iterator[tuple[int, int]]:
+    """Stretches of events outside tables."""
+    at = 0
+    for table in _INSIDE_TABLE.finditer(letters):
+        yield at, table.start()
+        at = table.end()
+    yield at, len(letters)
+
+
 def page_pieces(pages: DataFrame, page_id: str, html: str) -> DataFrame:
     """Cells of top-level tables and text blocks of every page.
 
@@ -31,104 +128,22 @@ def page_pieces(pages: DataFrame, page_id: str, html: str) -> DataFrame:
     the standard parser; pages are independent and nothing is shuffled.
     ``kind`` is ``cell`` (sheet, row, col) or ``block`` (row is its index).
     """
-    key_type = dict(pages.dtypes)[page_id]
-    block_tags = set(BLOCK_TAGS)
+    names = [page_id, "kind", "sheet", "row", "col", "tag", "text"]
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from html.parser import HTMLParser
-
-        class Extractor(HTMLParser):
-            def __init__(self) -> None:
-                super().__init__(convert_charrefs=True)
-                self.out, self.depth, self.sheet, self.index = [], 0, 0, 0
-                self.grid = self.row = self.cell = self.block = None
-
-            def handle_starttag(self, tag, attrs):
-                if tag == "table":
-                    self.depth += 1
-                    if self.depth == 1:
-                        self.grid = []
-                elif self.depth:
-                    if tag == "tr" and self.depth == 1:
-                        self.row = []
-                    elif tag in ("td", "th") and self.row is not None:
-                        span = dict(attrs).get("colspan") or "1"
-                        wide = int(span) if span.strip().isdigit() else 1
-                        self.cell = (max(wide, 1), [])
-                    elif tag == "br" and self.cell:
-                        self.cell[1].append(" ")
-                elif tag in block_tags and self.block is None:
-                    self.block = (tag, [])
-                elif tag == "br" and self.block:
-                    self.block[1].append(" ")
-
-            def handle_data(self, data):
-                if self.cell:
-                    self.cell[1].append(data)
-                elif not self.depth and self.block:
-                    self.block[1].append(data)
-
-            def handle_endtag(self, tag):
-                if self.depth:
-                    if tag in ("td", "th") and self.cell:
-                        wide, parts = self.cell
-                        if self.row is not None:
-                            self.row += [" ".join("".join(parts).split())] * wide
-                        self.cell = None
-                    elif tag == "tr" and self.row is not None:
-                        if self.grid is not None:
-                            self.grid.append(self.row)
-                        self.row = None
-                    elif tag == "table":
-                        self.depth -= 1
-                        if self.depth == 0:
-                            self.close_table()
-                elif self.block and tag == self.block[0]:
-                    text = " ".join("".join(self.block[1]).split())
-                    if text:
-                        self.index += 1
-                        self.out.append(("block", None, self.index, None, tag, text))
-                    self.block = None
-
-            def close_table(self):
-                filled = [
-                    (r, c)
-                    for r, cells in enumerate(self.grid or [])
-                    for c, text in enumerate(cells)
-                    if text
-                ]
-                self.sheet += 1
-                rows = max((r for r, _ in filled), default=-1) + 1
-                cols = max((c for _, c in filled), default=-1) + 1
-                for r in range(rows):
-                    for c in range(cols):
-                        cells = self.grid[r]
-                        text = cells[c] if c < len(cells) and cells[c] else None
-                        self.out.append(("cell", self.sheet, r + 1, c + 1, None, text))
-                self.grid = None
-
-        names = [page_id, "kind", "sheet", "row", "col", "tag", "text"]
-
-        def frame(rows):
-            out = pd.DataFrame(rows, columns=names)
-            numbers = ["sheet", "row", "col"]
-            out[numbers] = out[numbers].astype("Int64")
-            return out
-
         for batch in batches:
-            rows = []
-            for key, body in zip(batch[page_id], batch[html]):
-                parser = Extractor()
-                parser.feed(body or "")
-                parser.close()
-                rows.extend((key, *piece) for piece in parser.out)
-                if len(rows) > 100_000:
-                    yield frame(rows)
-                    rows = []
-            if rows:
-                yield frame(rows)
-
-    schema = f"{page_id} {key_type}, {PIECES}"
+            found = (
+                (key, *piece)
+                for key, body in zip(batch[page_id], batch[html])
+                for piece in _pieces(body or "")
+            )
+            while rows := list(islice(found, 100_000)):
+                out = pd.DataFrame(rows, columns=names)
+                numbers = ["sheet", "row", "col"]
+                out[numbers] = out[numbers].astype("Int64")
+                yield out
+
+    schema = f"{page_id} {dict(pages.dtypes)[page_id]}, {PIECES}"
     return pages.select(page_id, html).mapInPandas(parse, schema)
 
 
