@@ -343,12 +343,15 @@ def acceptance(
     unresolved_facts: DataFrame,
     needs_constraints: Column,
     has_constraints: Column,
+    fact_id: str = "seq",
 ) -> DataFrame:
     """Acceptance gate: one row of counts and named checks.
 
     Each input is reduced to one row of counts before they are put together,
-    so nothing but counters crosses between the stages.
+    so nothing but counters crosses between the stages.  Facts with an unresolved
+    row key are counted as such; their evidence is not judged.
     """
+    judged = evidence.join(unresolved_facts.select(fact_id).distinct(), fact_id, "left_anti")
     count = F.count(F.lit(1))
     no_rows = F.size("source_row_keys") == 0
     no_cells = F.size("source_cell_keys") == 0
@@ -385,7 +388,7 @@ def acceptance(
             ),
         ),
         unresolved_facts.agg(count.alias("unresolved_source_row_lineage_count")),
-        evidence.agg(
+        judged.agg(
             F.coalesce(F.sum(F.greatest("mismatches", F.lit(1))), F.lit(0)).alias(
                 "row_semantic_error_count"
             )

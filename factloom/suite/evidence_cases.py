@@ -118,7 +118,7 @@ def vl11(spark, sf):
       count(*) AS source_row_count, count(*) AS source_cell_count, count(*) AS fact_count, 0::BIGINT AS missing_lineage_count, 0::BIGINT AS missing_source_row_lineage_count,
       count(*) FILTER (pr IN ('3', '5')) AS expected_constraint_fact_count, count(*) FILTER (pr IN ('3', '5')) AS constrained_expected_fact_count,
       (SELECT count(*) FROM dup) AS fact_error_count, 0::BIGINT AS missing_provenance_count, count(*) FILTER (seg = 'MACHINERY') AS unresolved_source_row_lineage_count,
-      (SELECT CAST(sum(greatest(mismatches, 1)) AS BIGINT) FROM ev) AS row_semantic_error_count,
+      (SELECT CAST(sum(greatest(mismatches, 1)) AS BIGINT) FROM ev WHERE seq NOT IN (SELECT seq FROM facts WHERE seg = 'MACHINERY')) AS row_semantic_error_count,
       count(*) FILTER (st <> 'P') AS source_record_count, count(*) FILTER (st <> 'P') AS source_record_lineaged_count,
       (SELECT count(*) FROM (SELECT DISTINCT source_concept, concept, concept_relation, legal_vintage FROM facts WHERE source_concept IS NOT NULL)) AS concept_alignment_count,
       (SELECT count(*) FROM (SELECT arg_min(coalesce(concept_evidence_url, ''), seq) AS u FROM facts WHERE concept_relation = 'exact' GROUP BY source_concept, concept, legal_vintage) WHERE u = '') AS concept_alignment_missing_evidence_count,
