@@ -27,6 +27,7 @@ RULES = ("most", "start", "split")
 class SpanEncoder(Encoder):
     """Texts to token spans; a unit's spans are kept relative to its start."""
 
+    ROOM = 600_000
     _known: dict[tuple, "SpanEncoder"] = {}
 
     def spans(self, texts, step: int = 64):

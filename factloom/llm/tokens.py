@@ -39,7 +39,10 @@ class Encoder:
 
     _known: dict[tuple, "Encoder"] = {}
 
-    def __init__(self, path: str, cut: str, room: int = 1_500_000):
+    #: Units that a memo holds, about 200 bytes each.
+    ROOM = 1_500_000
+
+    def __init__(self, path: str, cut: str, room: int | None = None):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -50,7 +53,7 @@ class Encoder:
         self.tokenizer = tokenizer
         self.encode = tokenizer.encode_batch_fast
         self.find = re.compile(CUTS[cut]).findall
-        self.room = room
+        self.room = room or self.ROOM
         self.memo: dict[str, bytes] = {}
 
     @classmethod
