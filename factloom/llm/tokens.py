@@ -1,7 +1,7 @@
 """Whole texts to token ids with a public tokenizer, word by word.
 
-Both vocabularies cut a text at white space before any merge, so the ids of a
-text are the ids of its units in order.  A unit is encoded once per Python
+Both vocabularies cut a text at their added tokens and at white space before any
+merge, so the ids of a text are the ids of its units in order.  A unit is encoded once per Python
 worker and then looked up; the memo is emptied when it is full, which costs
 time but never changes an id.
 """
@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import re
 import struct
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import chain, islice
 
 from .common import SPACES
@@ -30,11 +30,33 @@ def public_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def _between(tokens: Iterable, find: Callable[[str], list[str]]) -> Callable[[str], list[str]]:
+    """``find`` on the pieces between the added ``tokens``, each of which is a unit."""
+    tokens = list(tokens)
+    for t in tokens:
+        if t.normalized or t.lstrip or t.rstrip or t.single_word:
+            raise ValueError(f"added token {t.content!r} is not matched as it stands")
+    names = sorted((t.content for t in tokens), key=len, reverse=True)
+    if not names:
+        return find
+    split = re.compile("(" + "|".join(map(re.escape, names)) + ")").split
+
+    def units(text: str) -> list[str]:
+        if not any(name in text for name in names):
+            return find(text)
+        pieces = split(text)  # every second one is a token
+        return [u for i, p in enumerate(pieces) for u in ((p,) if i % 2 else find(p))]
+
+    return units
+
+
 class Encoder:
     """Encodes texts with one vocabulary file; ``room`` bounds the memo, in units.
 
     ``cut`` names the unit pattern that fits the file's own pre-tokenizer.
-    Special tokens' strings in a text are ordinary text.
+    ``added``: the file's added tokens in a text get their own ids, as the library
+    gives them by default, and the texts between them are cut into units; without
+    it their strings are ordinary text.
     """
 
     _known: dict[tuple, "Encoder"] = {}
@@ -42,25 +64,27 @@ class Encoder:
     #: Units that a memo holds, about 200 bytes each.
     ROOM = 1_500_000
 
-    def __init__(self, path: str, cut: str, room: int | None = None):
+    def __init__(self, path: str, cut: str, room: int | None = None, added: bool = False):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
+        tokenizer.encode_special_tokens = not added
         self.tokenizer = tokenizer
         self.encode = tokenizer.encode_batch_fast
         self.find = re.compile(CUTS[cut]).findall
+        if added:
+            self.find = _between(tokenizer.get_added_tokens_decoder().values(), self.find)
         self.room = room or self.ROOM
         self.memo: dict[str, bytes] = {}
 
     @classmethod
     def of(cls, path: str, cut: str) -> "Encoder":
-        """One encoder per worker process, kept between tasks."""
+        """One encoder per worker process, kept between tasks; ids as the library's."""
         if (path, cut) not in cls._known:
-            cls._known[path, cut] = cls(path, cut)
+            cls._known[path, cut] = cls(path, cut, added=True)
         return cls._known[path, cut]
 
     def ids(self, texts: Iterable[str], step: int = 64) -> Iterator[bytes]:
