@@ -12,6 +12,8 @@ are scored; both are joined back to the pages.
 from __future__ import annotations
 
 import math
+import re
+from collections.abc import Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,9 +29,12 @@ RULES = (
     ("block", "net", "/es/"),
     ("block", "net", "/fr/"),
 )
-#: Words that count as seen ``SEED_TIMES`` times in blocked urls.
+#: Words that hold ``SEED_SHARE`` of the mass of blocked urls, evenly.
 SEEDS = "adult bets bet casino farm free poker porn sex spam viagra win xxx".split()
-SEED_TIMES = 50
+SEED_SHARE = 0.1
+#: Share of each class's mass that all words hold evenly, seen or not.  Shares, not
+#: counts: verdicts do not change with the table's size.
+SMOOTHING = 0.1
 #: No word of a host label is longer.
 LONGEST = 20
 _CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -53,6 +58,12 @@ def ruled(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     return text, verdict
 
 
+def outside_rules(path: Column, rules=RULES) -> Column:
+    """``path`` without the leading parts that the rules look at, of any value."""
+    depth = max([p.count("/") - 1 for _, _, p in rules], default=0)
+    return F.regexp_replace(path, f"^(?:/[^/]*){{{depth}}}(?=/)", "") if depth > 0 else path
+
+
 def split_label(label: str, counts: dict[str, int], total: int) -> list[str]:
     """The likeliest words of ``label`` under unigram ``counts``.
 
@@ -77,16 +88,16 @@ def split_label(label: str, counts: dict[str, int], total: int) -> list[str]:
     return words[::-1]
 
 
-def host_words(hosts: DataFrame, text: DataFrame) -> DataFrame:
+def host_words(hosts: DataFrame, text: DataFrame, leave: Sequence[str] = ()) -> DataFrame:
     """``host`` and the array ``words`` of each distinct host.
 
     ``text``: ``html``; the words of the pages, without tags, are the unigram
     model.  The parts of the labels are joined with the counted words, so no
-    task holds the vocabulary.
+    task holds the vocabulary.  Labels in ``leave`` are left out.
     """
     labels = hosts.select(
         "host", F.posexplode(F.split("host", r"[^a-z]+")).alias("at", "label")
-    ).filter("label != ''")
+    ).filter(~F.col("label").isin("", *leave))
     labels = stored(labels, "labels")
     distinct = labels.select("label").distinct()
     starts = F.sequence(F.lit(1), F.length("label"))
@@ -131,8 +142,10 @@ def judged_urls(pages: DataFrame, rules=RULES, seeds=SEEDS) -> DataFrame:
     ``pages``: page_id, url and html; other columns are ignored.  ``score`` is
     the log odds of block against allow, null where a rule decides; the verdict is
     block above 0.  Without
-    blocked or without allowed training pages the seeds alone stand for block.
-    A null url has an empty host and path and is scored by the priors.
+    blocked training pages the seeds alone stand for block.  Words of the rules'
+    domains and leading path parts, which decide the class, are left out, and the classes have even priors: how many pages the
+    rules pick for either says nothing of the others.
+    A null url has an empty host and path and the score 0.
     """
     host, path = host_and_path(F.col("url"))
     rule, verdict = ruled(F.col("host"), F.col("path"), rules)
@@ -142,16 +155,19 @@ def judged_urls(pages: DataFrame, rules=RULES, seeds=SEEDS) -> DataFrame:
         .withColumn("ruled", verdict)
     )
     # Numbers differ from page to page; all of them are one word.
-    digits = F.regexp_replace(F.lower("path"), r"[0-9]+", "0")
+    digits = F.regexp_replace(F.lower(outside_rules(F.col("path"), rules)), r"[0-9]+", "0")
     rows = stored(
         rows.withColumn("path_words", F.filter(F.split(digits, r"[^a-z0-9]+"), lambda w: w != "")),
         "urls",
     )
     kinds = rows.groupBy("host", "path_words", "ruled").agg(F.count("*").alias("pages"))
     kinds = stored(kinds, "kinds")
-    names = host_words(kinds.select("host").distinct(), pages)
+    named = sorted({w for _, domain, _ in rules for w in re.split("[^a-z]+", domain) if w})
+    names = host_words(kinds.select("host").distinct(), pages, named)
+    words = F.coalesce("words", F.array().cast("array<string>"))
+    words = F.coalesce("words", F.array().cast("array<string>"))
     tokens = F.concat(
-        F.transform(F.coalesce("words", F.array().cast("array<string>")), lambda w: F.concat(F.lit("h:"), w)),
+        F.transform(words, lambda w: F.concat(F.lit("h:"), w)),
         F.transform("path_words", lambda w: F.concat(F.lit("p:"), w)),
     )
     kinds = stored(
@@ -161,26 +177,27 @@ def judged_urls(pages: DataFrame, rules=RULES, seeds=SEEDS) -> DataFrame:
         F.explode("tokens").alias("token"), "ruled", "pages"
     )
     spark = pages.sparkSession
-    given = spark.createDataFrame(
-        [("h:" + w, "block", SEED_TIMES) for w in seeds], "token string, ruled string, pages long"
-    )
-    counts = (
-        seen.unionByName(given)
-        .groupBy("token")
-        .agg(
-            F.sum(F.when(F.col("ruled") == "block", F.col("pages")).otherwise(0)).alias("block"),
-            F.sum(F.when(F.col("ruled") == "allow", F.col("pages")).otherwise(0)).alias("allow"),
-        )
+    given = spark.createDataFrame([("h:" + w, True) for w in seeds], "token string, seed boolean")
+    pages_of = lambda c: F.coalesce(F.sum(F.when(F.col("ruled") == c, F.col("pages"))), F.lit(0))
+    counts = seen.groupBy("token").agg(
+        pages_of("block").alias("block"), pages_of("allow").alias("allow")
     )
+    counts = counts.join(given, "token", "full").na.fill({"block": 0, "allow": 0, "seed": False})
     counts = stored(counts, "token-counts")
     sums = counts.agg(
         F.coalesce(F.sum("block"), F.lit(0)).alias("block"),
         F.coalesce(F.sum("allow"), F.lit(0)).alias("allow"),
         F.count("*").alias("tokens"),
     ).first()
-    classes = {r["ruled"]: r["n"] for r in kinds.groupBy("ruled").agg(F.sum("pages").alias("n")).collect()}
-    prior = math.log((classes.get("block", 0) + 1) / (classes.get("allow", 0) + 1))
-    share = lambda c: (F.col(c) + 1) / F.lit(float(sums[c] + sums["tokens"]))
+    even = 1 / max(1, sums["tokens"])
+    seeded = F.when(F.col("seed"), 1 / max(1, len(seeds))).otherwise(0.0)
+
+    def share(c):
+        held = F.col(c) / F.lit(float(sums[c])) if sums[c] else None
+        if c == "block" and seeds:
+            held = seeded if held is None else SEED_SHARE * seeded + (1 - SEED_SHARE) * held
+        return F.lit(even) if held is None else SMOOTHING * even + (1 - SMOOTHING) * held
+
     weights = counts.select("token", (F.ln(share("block")) - F.ln(share("allow"))).alias("weight"))
     open_ = kinds.filter("ruled is null").select("host", "path_words", "tokens")
     scored = (
@@ -189,7 +206,7 @@ def judged_urls(pages: DataFrame, rules=RULES, seeds=SEEDS) -> DataFrame:
         .groupBy("host", "path_words")
         .agg(F.sum("weight").alias("sum"))
     )
-    score = F.when(F.col("rule").isNull(), F.lit(prior) + F.coalesce("sum", F.lit(0.0)))
+    score = F.when(F.col("rule").isNull(), F.coalesce("sum", F.lit(0.0)))
     return (
         rows.join(scored, ["host", "path_words"], "left")
         .withColumn("score", score)
