@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from .centroid_clusters import OP11_SQL, op11_centroids
 from .exact_search import OP5_SQL, op5_exact_search
+from .fill_in_middle import OP12_SQL, op12_fill_in_middle
 from .fingerprints import op1_fingerprints
+from .language_codes import op13_language
 from .mixing import op2_mix
 from .near_duplicates import op6_near_duplicates
 from .packing import op8_pack
@@ -24,6 +27,9 @@ _QUERIES = [
     op8_pack,
     op9_quality,
     op10_section_tokens,
+    op11_centroids,
+    op12_fill_in_middle,
+    op13_language,
 ]
 
 
@@ -34,4 +40,8 @@ def queries() -> dict:
 
 def oracle_sql() -> dict[str, str]:
     """SQL twins of the queries that SQL can express."""
-    return {"op5_exact_search": OP5_SQL}
+    return {
+        "op5_exact_search": OP5_SQL,
+        "op11_centroids": OP11_SQL,
+        "op12_fill_in_middle": OP12_SQL,
+    }
