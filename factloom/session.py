@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,15 +43,29 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     return spark.conf.get("spark.checkpoint.dir", None)
 
 
+def new_folder(spark: SparkSession, label: str) -> str:
+    """Path of a new folder that every executor can reach.
+
+    Under the cluster's shared folder; where none is set, which only a local
+    session may do, under a temporary one that goes when Python ends.
+    """
+    shared = checkpoint_dir(spark)
+    if shared is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a shared folder")
+        shared = tempfile.mkdtemp(prefix="spark-")
+        atexit.register(shutil.rmtree, shared, ignore_errors=True)
+    return f"{shared.rstrip('/')}/factloom/{label}-{uuid.uuid4().hex}"
+
+
 def materialise(rows: DataFrame, label: str) -> DataFrame:
     """Write a table that several outputs share once, and read it back.
 
     The written copy is in the cluster's shared folder, so lost executors do
     not lose it.  Without such a folder the rows stay lazy and are recomputed.
     """
-    folder = checkpoint_dir(rows.sparkSession)
-    if folder is None:
+    if checkpoint_dir(rows.sparkSession) is None:
         return rows
-    path = f"{folder}/factloom/{label}-{uuid.uuid4().hex}"
+    path = new_folder(rows.sparkSession, label)
     rows.write.parquet(path)
     return rows.sparkSession.read.parquet(path)

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -13,6 +12,7 @@ from pyspark.sql import types as T
 
 from factloom.functions.scalars import bare_number, strip, tagged_scalar
 from factloom.operators.sequence import join_on
+from factloom.sources.records import delimited_rows, landed_json
 
 LINE_BREAK = "\\r\\n|[\\n\\r\\u000B\\u000C\\u001C-\\u001E\\u0085\\u2028\\u2029]"
 
@@ -92,40 +92,8 @@ def parse_delimited(
 
 
 def read_delimited(spark: SparkSession, path: str, delimiter: str = ",") -> DataFrame:
-    """Delimited file scan: one row per record, record ordinals from 2.
-
-    Each file is read by its own header.  A blank record is a row of empty
-    values.  A line is a record: quoted line breaks are not joined.
-    """
-    lines = file_lines(spark, path)
-    headers = file_headers(spark, path)
-    layouts = [row["header"] for row in headers.select("header").distinct().collect()]
-    if not layouts:
-        raise ValueError(f"no header line in {path}")
-    body = lines.filter("line_number > 1").join(headers, "file")
-    parts = [
-        parse_delimited(
-            body.filter(F.col("header") == layout),
-            ["file", "line_number"],
-            header_names(layout, delimiter),
-            delimiter,
-        )
-        for layout in sorted(layouts)
-    ]
-    rows = reduce(DataFrame.unionByName, parts)
-    return rows.withColumnRenamed("line_number", "row_number")
-
-
-def file_headers(spark: SparkSession, path: str) -> DataFrame:
-    """``file, header``: the first line of each file, found without a sort."""
-    lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("start"),
-        F.monotonically_increasing_id().alias("_id"),
-        F.col("value").alias("line"),
-    )
-    first = lines.filter("start = 0").groupBy("file")
-    return first.agg(F.min_by("line", "_id").alias("header"))
+    """Rows of delimited files; ``records.delimited_rows`` has their issues too."""
+    return delimited_rows(spark, path, delimiter)[0]
 
 
 def json_object_rows(docs: DataFrame, keep: Sequence[str], text: str) -> DataFrame:
@@ -214,18 +182,6 @@ def landed_rows(rows: DataFrame, keep: Sequence[str], columns: Sequence[str]) ->
     return rows.select(*keep, payload.alias("values_json"))
 
 
-def landed_entries(docs: DataFrame) -> DataFrame:
-    """A JSON object lands as one row per key, with the key and its value."""
-    items = F.map_entries(F.from_json("text", "map<string,string>"))
-    return docs.select("file", F.posexplode(items).alias("_pos", "_item")).select(
-        "file",
-        (F.col("_pos") + 1).cast("bigint").alias("row_number"),
-        F.to_json(
-            F.struct(F.col("_item.key").alias("key"), F.col("_item.value").alias("value"))
-        ).alias("values_json"),
-    )
-
-
 def land_file(spark: SparkSession, path: str) -> DataFrame:
     """Suffix-dispatched landing: ``row_number, values_json`` of one file path."""
     lower = path.lower()
@@ -241,31 +197,7 @@ def land_file(spark: SparkSession, path: str) -> DataFrame:
             F.to_json(entries).alias("values_json"),
         )
     if lower.endswith(".json"):
-        docs = spark.read.text(path, wholetext=True).select(
-            F.col("_metadata.file_path").alias("file"), F.col("value").alias("text")
-        )
-        is_table = F.ltrim("text").rlike(r"^\[\s*\[")
-        is_object = F.ltrim("text").startswith("{")
-        entries = landed_entries(docs.filter(is_object))
-        objects = json_object_rows(docs.filter(~is_table & ~is_object), ["file"], "text")
-        arrays = json_array_rows(docs.filter(is_table), ["file"], "text").withColumn(
-            "row_number", F.col("row_number") - 1
-        )
-        tables = (
-            objects.unionByName(arrays)
-            .groupBy("file", "row_number")
-            .agg(
-                F.to_json(
-                    F.map_from_entries(
-                        F.transform(
-                            F.array_sort(F.collect_list(F.struct("position", "name", "value"))),
-                            lambda v: F.struct(v["name"], v["value"]),
-                        )
-                    )
-                ).alias("values_json")
-            )
-        )
-        return tables.unionByName(entries)
+        return landed_json(spark, path)[0]
     lines = file_lines(spark, path)
     return lines.select(
         "file",

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from factloom.operators.sequence import number_rows
+from factloom.session import new_folder
+from factloom.sources import records as R
 from factloom.sources import delimited as D
 from factloom.sources import pages as G
 from factloom.sources import store as T
@@ -244,3 +246,135 @@ def jn23(spark, sf):
     stored = part.drop("p_size").withColumn("state", F.lit("stored"))
     loaded = part.filter("p_size > 45").drop("p_size").withColumn("state", F.lit("loaded"))
     return T.replace_scope(stored, loaded, "p_partkey", ["p_brand"])
+
+
+# --- written files ---------------------------------------------------------------
+#: Orders of a written file, by key.
+PER_FILE = 50_000
+
+
+def written(lines, label):
+    """Write ``part, at, line`` as one text file per part, in the order of ``at``."""
+    path = new_folder(lines.sparkSession, "files") + f"/{label}"
+    ordered = lines.repartition("part").sortWithinPartitions("part", "at")
+    ordered.select("part", "line").write.partitionBy("part").text(path)
+    return path
+
+
+def numbered_part(rows, keep):
+    part = F.regexp_extract("file", "part=([0-9]+)", 1).cast("bigint")
+    return rows.select(part.alias("part"), *keep)
+
+
+def delimited_files(spark, sf):
+    """Records over several lines, blank and short ones, under two headers."""
+    key = F.col("o_orderkey")
+    part = F.floor(key / PER_FILE)
+    orders = table(spark, sf, "orders").withColumn("part", part)
+    broken = F.concat(F.lit('"'), "o_orderpriority", F.lit('\nsecond ""line"""'))
+    note = F.when(key % 5 == 0, broken).otherwise(F.concat(F.lit('"x, '), "o_orderstatus", F.lit('"')))
+    first = F.when(F.col("part") % 2 == 0, key.cast("string")).otherwise(note)
+    second = F.when(F.col("part") % 2 == 0, note).otherwise(key.cast("string"))
+    price = F.when(key % 7 == 0, "").otherwise(F.concat(F.lit(",$"), F.col("o_totalprice").cast("string")))
+    blank = F.when(key % 11 == 0, "\n").otherwise("")
+    body = orders.select(
+        "part", key.alias("at"), F.concat(first, F.lit(","), second, price, blank).alias("line")
+    )
+    header = F.when(F.col("part") % 2 == 0, "\ufeffid,note,price").otherwise(" %note ,id,price")
+    heads = orders.select("part").distinct().select("part", F.lit(-1).cast("bigint").alias("at"), header.alias("line"))
+    return written(body.unionByName(heads), "orders.csv")
+
+
+SQL_FILE_RECORDS = rf"""
+o AS (SELECT *, o_orderkey // {PER_FILE} AS part FROM orders),
+r AS (SELECT *, 2 + coalesce(sum(CASE WHEN o_orderkey % 11 = 0 THEN 2 ELSE 1 END) OVER (PARTITION BY part ORDER BY o_orderkey
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS row_number,
+  CASE WHEN o_orderkey % 5 = 0 THEN o_orderpriority || chr(10) || 'second "line"' ELSE 'x, ' || o_orderstatus END AS note FROM o),
+t AS (
+  SELECT part, CAST(row_number AS BIGINT) AS row_number, 'id' AS name, CAST(o_orderkey AS VARCHAR) AS text, CAST(o_orderkey AS DOUBLE) AS num FROM r
+  UNION ALL SELECT part, CAST(row_number AS BIGINT), 'note', note, NULL FROM r
+  UNION ALL SELECT part, CAST(row_number AS BIGINT), 'price', CASE WHEN o_orderkey % 7 <> 0 THEN '$' || CAST(o_totalprice AS VARCHAR) END,
+    CASE WHEN o_orderkey % 7 <> 0 THEN o_totalprice END FROM r
+  UNION ALL SELECT part, CAST(row_number + 1 AS BIGINT), name, NULL, NULL FROM r, (VALUES ('id'), ('note'), ('price')) n(name) WHERE o_orderkey % 11 = 0)"""
+
+
+@query(
+    "src01_delimited_files",
+    f"""
+    WITH {SQL_FILE_RECORDS}
+    SELECT part, row_number, name, text, num, CASE WHEN text IS NULL THEN 'empty' WHEN num IS NULL THEN 'text' ELSE 'number' END AS kind FROM t""",
+)
+def src01_files(spark, sf):
+    rows = D.read_delimited(spark, delimited_files(spark, sf))
+    return numbered_part(rows, ["row_number", F.inline("values")]).drop("pos")
+
+
+def json_files(spark, sf):
+    """One array per file; some items are of another shape or no JSON at all."""
+    key = F.col("o_orderkey")
+    item = (
+        F.when(key % 13 == 0, "{bad}")
+        .when(key % 17 == 0, "5")
+        .otherwise(
+            F.concat(
+                F.lit('{"id":'), key.cast("string"), F.lit(',"note":"[\\"'), "o_orderpriority", F.lit('\\",{","more":'),
+                F.when(key % 2 == 0, "null").otherwise("[1,2]"), F.lit("}"),
+            )
+        )
+    )
+    orders = table(spark, sf, "orders").withColumn("part", F.floor(key / PER_FILE))
+    body = orders.select("part", key.alias("at"), F.concat(F.lit(","), item).alias("line"))
+    parts = orders.select("part").distinct()
+    first = parts.select("part", F.lit(-1).cast("bigint").alias("at"), F.lit('[{"note": "a", "%no ": 0}').alias("line"))
+    last = parts.select("part", F.lit(2**62).alias("at"), F.lit(" ]").alias("line"))
+    return written(body.unionByName(first).unionByName(last), "orders.json")
+
+
+SQL_FILE_ITEMS = f"""
+i AS (SELECT *, o_orderkey // {PER_FILE} AS part, 1 + row_number() OVER (PARTITION BY o_orderkey // {PER_FILE} ORDER BY o_orderkey) AS item FROM orders)"""
+
+
+@query(
+    "src02_json_files",
+    rf"""
+    WITH {SQL_FILE_ITEMS}, g AS (SELECT * FROM i WHERE o_orderkey % 13 <> 0 AND o_orderkey % 17 <> 0)
+    SELECT part, item AS row_number, 'note' AS name, '["' || o_orderpriority || '",{{' AS text, NULL::DOUBLE AS num, NULL::VARCHAR AS code FROM g
+    UNION ALL SELECT part, item, 'no', NULL, NULL, NULL FROM g
+    UNION ALL SELECT DISTINCT part, 1::BIGINT, 'note', 'a', NULL::DOUBLE, NULL FROM i
+    UNION ALL SELECT DISTINCT part, 1::BIGINT, 'no', '0', 0::DOUBLE, NULL FROM i
+    UNION ALL SELECT part, item, NULL, NULL, NULL, CASE WHEN o_orderkey % 13 = 0 THEN 'not_json' ELSE 'row_shape' END FROM i
+      WHERE o_orderkey % 13 = 0 OR o_orderkey % 17 = 0""",
+)
+def src02_files(spark, sf):
+    items, left_open = R.json_items(spark, json_files(spark, sf))
+    rows, issues = R.table_rows(items, ["file"])
+    found = numbered_part(rows, ["row_number", "name", "text", "num", F.lit(None).cast("string").alias("code")])
+    nothing = [F.lit(None).cast(t).alias(n) for n, t in (("name", "string"), ("text", "string"), ("num", "double"))]
+    faults = numbered_part(
+        issues.unionByName(left_open), [F.col("item").alias("row_number"), *nothing, "code"]
+    )
+    return found.unionByName(faults)
+
+
+@query(
+    "src06_landed_files",
+    rf"""
+    WITH {SQL_FILE_RECORDS}, {SQL_FILE_ITEMS},
+    c AS (SELECT part, row_number, max(text) FILTER (name = 'id') AS id, max(text) FILTER (name = 'note') AS note, max(text) FILTER (name = 'price') AS price
+      FROM t GROUP BY part, row_number),
+    q AS (SELECT part, row_number, 'csv' AS form,
+      CASE WHEN part % 2 = 0 THEN '{{"id":' || coalesce('"' || id || '"', 'null') || ',"note":' || coalesce(to_json(note), 'null')
+        ELSE '{{"note":' || coalesce(to_json(note), 'null') || ',"id":' || coalesce('"' || id || '"', 'null') END
+      || ',"price":' || coalesce('"' || price || '"', 'null') || '}}' AS values_json FROM c)
+    SELECT part, row_number - 1 AS row_number, form, values_json FROM q
+    UNION ALL SELECT part, item, 'json', '{{"note":' || to_json('["' || o_orderpriority || '",{{') || ',"no":null,"id":"' || o_orderkey || '","more":'
+      || CASE WHEN o_orderkey % 2 = 0 THEN 'null' ELSE '"[1,2]"' END || '}}' FROM i WHERE o_orderkey % 13 <> 0 AND o_orderkey % 17 <> 0
+    UNION ALL SELECT DISTINCT part, 1::BIGINT, 'json', '{{"note":"a","no":"0","id":null,"more":null}}' FROM i""",
+)
+def src06_files(spark, sf):
+    found = None
+    for form, write in (("csv", delimited_files), ("json", json_files)):
+        rows = D.land_file(spark, write(spark, sf))
+        rows = numbered_part(rows, ["row_number", F.lit(form).alias("form"), "values_json"])
+        found = rows if found is None else found.unionByName(rows)
+    return found
