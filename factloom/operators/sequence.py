@@ -3,17 +3,22 @@
 A group (a source, a user, a sheet) may hold a third of all rows, so a plain
 window over the group is not used.  Rows are cut into blocks of ``width``
 consecutive ordinals; work inside a block is a window over (group, block), and
-only one summary row per block is carried across blocks.
+only one summary row per block is carried across blocks.  Where ordinals are
+sparse or leads are many there are nearly as many blocks as rows, so blocks are
+not carried in one task either: they are sorted into range partitions, folded
+inside each, and one row per partition is folded across.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from factloom.session import store
+
 WIDTH = 65_536
 
 
@@ -27,6 +32,53 @@ def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "
     return joined.drop(*[f"_r_{key}" for key in keys])
 
 
+def fold_before(
+    blocks: DataFrame,
+    group: Sequence[str],
+    order: Sequence[str],
+    value: str,
+    out: str,
+    fold: Callable[[Column], Column],
+    total: Callable[[Column, Column], Column],
+    merge: Callable[[Column, Column], Column],
+) -> DataFrame:
+    """``group``, ``order`` and ``out``: ``value`` folded over the earlier blocks.
+
+    ``fold`` is an aggregate over ordered rows, ``total`` the same without an
+    order (it is given the value and a struct to order by), ``merge`` puts the
+    fold of earlier partitions before that inside the own one.  The sorted blocks
+    are written once, so both uses see the same partitions.
+    """
+    ranged = blocks.select(*group, *order, value).repartitionByRange(*group, *order)
+    placed = store(ranged.withColumn("_part", F.spark_partition_id()), "blocks")
+    sort = [F.col(name).asc_nulls_first() for name in order]
+    own = W.partitionBy("_part", *group).orderBy(*sort).rowsBetween(W.unboundedPreceding, -1)
+    parts = placed.groupBy("_part", *group).agg(
+        total(F.col(value), F.struct(*order)).alias("_total")
+    )
+    # At most one row per partition and group.
+    earlier = W.partitionBy(*group).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    carried = parts.select("_part", *group, fold(F.col("_total")).over(earlier).alias("_carried"))
+    here = placed.withColumn("_here", fold(F.col(value)).over(own))
+    return join_on(here, carried, ["_part", *group]).select(
+        *group, *order, merge(F.col("_carried"), F.col("_here")).alias(out)
+    )
+
+
+def _sum_before(blocks: DataFrame, group: Sequence[str], order: Sequence[str], value: str, out: str):
+    zero = F.lit(0)
+    return fold_before(
+        blocks,
+        group,
+        order,
+        value,
+        out,
+        F.sum,
+        lambda x, _: F.sum(x),
+        lambda a, b: F.coalesce(a, zero) + F.coalesce(b, zero),
+    )
+
+
 def number_rows(
     rows: DataFrame,
     group: Sequence[str],
@@ -45,15 +97,7 @@ def number_rows(
     keys = [*group, *blocks]
     cut = rows.withColumn("_block", F.floor(F.col(ordinal) / width))
     counts = cut.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    # One row per block of `width` ordinals reaches this window.
-    before = (
-        W.partitionBy(*group)
-        .orderBy(*[F.col(name).asc_nulls_first() for name in blocks])
-        .rowsBetween(W.unboundedPreceding, -1)
-    )
-    offsets = counts.select(
-        *keys, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")
-    )
+    offsets = _sum_before(counts, group, blocks, "_n", "_before")
     inside = W.partitionBy(*keys).orderBy(ordinal)
     local = cut.withColumn("_local", F.row_number().over(inside).cast("bigint"))
     return (
@@ -81,11 +125,15 @@ def carry_forward(
             "_value", F.when(F.col("_value").isNotNull(), F.col(ordinal))
         ).alias("_last")
     )
-    earlier = (
-        W.partitionBy(*group).orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
-    )
-    carried = last.select(
-        *keys, F.last("_last", ignorenulls=True).over(earlier).alias("_carried")
+    carried = fold_before(
+        last,
+        group,
+        ["_block"],
+        "_last",
+        "_carried",
+        lambda x: F.last(x, ignorenulls=True),
+        lambda x, at: F.max_by(x, F.when(x.isNotNull(), at)),
+        lambda a, b: F.coalesce(b, a),
     )
     inside = (
         W.partitionBy(*keys).orderBy(ordinal).rowsBetween(W.unboundedPreceding, 0)
@@ -112,10 +160,7 @@ def running_sum(
         {"_block": F.floor(F.col(ordinal) / width), "_value": value}
     )
     sums = cut.groupBy(*keys).agg(F.sum("_value").alias("_sum"))
-    earlier = (
-        W.partitionBy(*group).orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
-    )
-    offsets = sums.select(*keys, F.sum("_sum").over(earlier).alias("_before"))
+    offsets = _sum_before(sums, group, ["_block"], "_sum", "_before")
     inside = (
         W.partitionBy(*keys).orderBy(ordinal).rowsBetween(W.unboundedPreceding, -1)
     )

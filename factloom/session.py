@@ -64,8 +64,11 @@ def materialise(rows: DataFrame, label: str) -> DataFrame:
     The written copy is in the cluster's shared folder, so lost executors do
     not lose it.  Without such a folder the rows stay lazy and are recomputed.
     """
-    if checkpoint_dir(rows.sparkSession) is None:
-        return rows
+    return rows if checkpoint_dir(rows.sparkSession) is None else store(rows, label)
+
+
+def store(rows: DataFrame, label: str) -> DataFrame:
+    """Write a table now and read it back, so that all its uses see the same rows."""
     path = new_folder(rows.sparkSession, label)
     rows.write.parquet(path)
-    return rows.sparkSession.read.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from factloom.functions.scalars import bare_number, strip, tagged_scalar
 from factloom.operators.sequence import join_on
-from factloom.session import materialise
+from factloom.session import store
 
 BLOCK = ["file", "start"]
 #: Characters of the longest record or item; a longer one is an issue row.
@@ -172,7 +172,7 @@ def delimited_records(
     )
     so_far = W.partitionBy(*BLOCK).orderBy("place").rowsBetween(W.unboundedPreceding, 0)
     begins = lambda start: F.sum((_given("before", F.lit(start)) == 0).cast("bigint")).over(so_far)
-    lines = materialise(lines.withColumns({"begun_0": begins(0), "begun_1": begins(1)}), "lines")
+    lines = store(lines.withColumns({"begun_0": begins(0), "begun_1": begins(1)}), "lines")
     placed = join_on(lines, _splits(lines, ["begun"]), BLOCK, "inner").select(
         *BLOCK,
         "place",
@@ -273,7 +273,7 @@ def json_items(
     deep = lambda start: F.sum(
         _deeper(_bare(F.col("_plain"), _given("before", F.lit(start))))
     ).over(so_far)
-    pieces = materialise(
+    pieces = store(
         pieces.withColumns({"deep_0": deep(0), "deep_1": deep(1)}).drop("_plain"), "pieces"
     )
     placed = join_on(pieces, _splits(pieces, ["deep"]), BLOCK, "inner").select(

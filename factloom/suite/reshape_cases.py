@@ -292,15 +292,13 @@ def prj08(spark, sf):
       row_number() OVER (PARTITION BY set_id ORDER BY row_ordinal, measure_ordinal) AS position FROM specs""",
 )
 def wn07(spark, sf):
-    # A sheet has at most 16 384 columns, so the two ordinals fit one number.
     expanded = R.expand_spec(*spec_tables(spark, sf)).select(
-        "set_id",
-        "source_record_id",
-        (F.col("row_ordinal") * 16_384 + F.col("measure_ordinal")).alias("ordinal"),
+        "set_id", "source_record_id", "row_ordinal", "measure_ordinal"
+    )
+    numbered = Q.number_rows(
+        expanded, ["set_id"], "measure_ordinal", "position", lead=["row_ordinal"]
     )
-    return Q.number_rows(
-        expanded, ["set_id"], "ordinal", "position", width=1 << 30
-    ).drop("ordinal")
+    return numbered.drop("row_ordinal", "measure_ordinal")
 
 
 @query(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from factloom.functions import scalars as S
+from factloom.operators import regions as G
 from factloom.operators import reshape as R
 from factloom.operators import selectors as L
 from factloom.operators import sequence as Q
@@ -272,6 +273,56 @@ def jn07(spark, sf):
     return L.region_report(regions, pairs, ["r", "c"])
 
 
+SQL_GRID = """
+cells AS (SELECT DISTINCT l_returnflag AS sheet, l_orderkey % 30000 + 1 AS r, l_suppkey + l_linenumber * 200 AS c FROM lineitem),
+regions AS (SELECT p_partkey AS region_no, CASE WHEN p_size = 7 THEN ' ' WHEN p_partkey % 5 = 0 THEN p_brand ELSE 'r' || p_partkey END AS region_id,
+  CASE WHEN p_partkey % 3 = 0 THEN 'A' WHEN p_partkey % 3 = 1 THEN 'N' ELSE 'none' END AS sheet,
+  p_partkey * 7919 % 25000 - CASE WHEN p_size = 9 THEN 25000 ELSE 0 END AS t, p_partkey * 7919 % 25000 + p_size * p_size * p_size % 9000 AS b,
+  p_partkey % 700 + 1 AS l, p_partkey % 700 + p_size * 20 AS rt FROM part),
+sound AS (SELECT * FROM regions WHERE t >= 1),
+pairs AS (SELECT region_no, s.sheet, r, c FROM sound s JOIN cells k ON s.sheet = k.sheet AND r BETWEEN t AND b AND c BETWEEN l AND rt),
+cov AS (SELECT region_no, count(*) AS n FROM pairs GROUP BY 1)"""
+
+
+@query(
+    "jn07_region_suite",
+    f"""
+    WITH {SQL_GRID}
+    SELECT region_no, region_id, coalesce(n, 0) AS covered_cells, NULL AS code FROM regions LEFT JOIN cov USING (region_no)
+    UNION ALL SELECT region_no, region_id, NULL, 'missing_region_id' FROM regions WHERE region_id = ' '
+    UNION ALL SELECT region_no, region_id, NULL, CASE WHEN t < 1 THEN 'malformed_region_bounds' ELSE 'region_matches_no_cells' END
+      FROM regions LEFT JOIN cov USING (region_no) WHERE t < 1 OR n IS NULL
+    UNION ALL SELECT NULL, region_id, NULL, 'duplicate_region_id' FROM regions GROUP BY region_id HAVING count(*) > 1
+    UNION ALL SELECT NULL, NULL, count(*), NULL FROM (SELECT DISTINCT sheet, r, c FROM pairs)""",
+)
+def jn07_suite(spark, sf):
+    cells = table(spark, sf, "lineitem").select(
+        F.col("l_returnflag").alias("sheet"),
+        (F.col("l_orderkey") % 30000 + 1).alias("r"),
+        (F.col("l_suppkey") + F.col("l_linenumber") * 200).alias("c"),
+    )
+    key, size = F.col("p_partkey"), F.col("p_size").cast("bigint")
+    top = key * 7919 % 25000
+    regions = table(spark, sf, "part").select(
+        key.alias("region_no"),
+        F.when(size == 7, " ").when(key % 5 == 0, F.col("p_brand")).otherwise(F.concat(F.lit("r"), key)).alias("region_id"),
+        F.when(key % 3 == 0, "A").when(key % 3 == 1, "N").otherwise("none").alias("sheet"),
+        (top - F.when(size == 9, 25000).otherwise(0)).alias("top_row"),
+        (top + size * size * size % 9000).alias("bottom_row"),
+        (key % 700 + 1).alias("left_column"),
+        (key % 700 + size * 20).alias("right_column"),
+    )
+    counts, issues, total = G.region_suite(regions, cells, F.col("r"), F.col("c"), ["sheet"])
+    empty = lambda kind, name: F.lit(None).cast(kind).alias(name)
+    return (
+        counts.withColumn("code", F.lit(None).cast("string"))
+        .unionByName(issues.withColumn("covered_cells", F.lit(None).cast("bigint")))
+        .unionByName(
+            total.select(empty("bigint", "region_no"), empty("string", "region_id"), "covered_cells", empty("string", "code"))
+        )
+    )
+
+
 @query(
     "jn10_resolve_lineage",
     """
