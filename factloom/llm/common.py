@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,6 +55,21 @@ def if_few(rows: DataFrame) -> DataFrame:
     return F.broadcast(rows) if rows.count() <= FEW else rows
 
 
+_holder: list = []
+
+
+def sole_use(owner: str, release: Callable[[], None] = lambda: None) -> None:
+    """Called where a task of ``owner`` starts in a Python worker.
+
+    A worker outlives its tasks and may keep tables between those of one
+    operator; when another operator's tasks come, ``release`` drops them.
+    """
+    if _holder and _holder[0][0] != owner:
+        _holder.pop()[1]()
+    if not _holder:
+        _holder.append((owner, release))
+
+
 def shielded(rows: DataFrame, needed: tuple[str, ...]) -> DataFrame:
     """``rows`` with all columns but ``needed`` under names nothing else uses."""
     return rows.select(

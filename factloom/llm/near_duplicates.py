@@ -23,13 +23,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import if_few, partitions, restored, shielded, sort_key, stored
+from .common import if_few, partitions, restored, shielded, sole_use, sort_key, stored
 
 WORDS = 5
 SIMILARITY = 0.8
 #: A pair at 0.8 is missed by all bands with probability (1 - 0.8^5)^28 = 1.5e-5.
 BANDS, ROWS = 28, 5
 REGISTERS = BANDS * ROWS
+#: Characters whose shingles are held at a time, about 44 bytes each.
+SLICE = 1_000_000
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2^64
 _SPACE = np.zeros(256, bool)
@@ -248,9 +250,11 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     )
 
     def sign(batches):
+        sole_use("signatures")
         for batch in batches:
-            for at in range(0, len(batch), 500):
-                part = batch.iloc[at : at + 500]
+            # Signed by slices of so many characters; a longer text is one slice.
+            sizes = batch["text"].str.len().to_numpy(np.int64)
+            for _, part in batch.groupby((np.cumsum(sizes) - sizes) // SLICE, sort=False):
                 owner, hashes, counts = bags(*shingles(part["text"].tolist()))
                 n = len(part)
                 found = band_hashes(signatures(n, owner, hashes, counts))

@@ -13,7 +13,7 @@ import struct
 from collections.abc import Callable, Iterable, Iterator
 from itertools import chain, islice
 
-from .common import SPACES
+from .common import SPACES, sole_use
 
 #: Vocabularies that this module knows how to cut, and their unit patterns.
 #: ``byte``: a space belongs to the word after it, other white space stands
@@ -83,6 +83,7 @@ class Encoder:
     @classmethod
     def of(cls, path: str, cut: str) -> "Encoder":
         """One encoder per worker process, kept between tasks; ids as the library's."""
+        sole_use(cls.__name__, cls._known.clear)
         if (path, cut) not in cls._known:
             cls._known[path, cut] = cls(path, cut, added=True)
         return cls._known[path, cut]
