@@ -19,6 +19,7 @@ from factloom.functions import canonical as C
 from factloom.functions import keys as K
 from factloom.functions.scalars import INTEGER_PATTERN
 from factloom.plans.targets import at_level
+from factloom.session import store
 
 # --- fixed values -------------------------------------------------------------
 SELECTOR_KEYS = [
@@ -82,11 +83,7 @@ def unknown_keys() -> Column:
 
 
 def signatures(targets: DataFrame) -> list[tuple[str, ...]]:
-    """Distinct sets of selector keys in use.
-
-    Thirteen keys allow 8 192 sets whatever the number of targets; profiles use
-    a few.
-    """
+    """Distinct sets of selector keys in use: at most 2^13, in practice a few."""
     combos = targets.select(F.array_sort(F.map_keys("selector")).alias("s")).distinct()
     return sorted(tuple(row["s"]) for row in combos.collect())
 
@@ -111,7 +108,7 @@ def stated(value: Column) -> Column:
 
 
 def fact_selector_key(keys: Sequence[str]) -> Column:
-    """The same text for a fact."""
+    """The same text for a fact: what a selector of these ``keys`` must be."""
     parts = []
     for key in keys:
         parts += [F.lit(f"{'|' if parts else ''}{key}"), stated(F.col(key))]
@@ -119,32 +116,42 @@ def fact_selector_key(keys: Sequence[str]) -> Column:
 
 
 class Matcher(NamedTuple):
-    """Targets and facts of one level with comparable selector keys.
+    """Targets and facts of one level, met through an index of key tuples.
 
-    A fact gets one selector key per set of keys in use, so wildcard matching
-    becomes one equi-join over one scan of the facts.
+    A tuple is what a fact has in the keys that any selector asks for; there are
+    far fewer of them than facts.  Only tuples are expanded to the asked sets of
+    keys, and only what a target asks for stays (``links``); facts carry their
+    tuple as one text and never meet a selector themselves.
     """
 
-    targets: DataFrame
-    facts: DataFrame
+    targets: DataFrame  # target_id, selector_key
+    facts: DataFrame  # the facts' columns and tuple_key
+    counted: DataFrame  # tuple_key, period, assertion, fact_count
+    links: DataFrame  # selector_key, tuple_key
 
     def combinations(self) -> DataFrame:
         """``target_id``, period, assertion and number of matching facts.
 
-        Facts are counted per selector key and period *before* they meet the
-        targets, so a selector that a third of the facts satisfy costs one
-        row per period.
+        Facts are counted per tuple and period, then per selector, before they
+        meet the targets, so a selector that a third of the facts satisfy costs
+        one row per period.
         """
         group = ["selector_key", *PERIOD, "assertion"]
-        counted = self.facts.groupBy(*group).agg(F.count(F.lit(1)).alias("fact_count"))
-        return self.targets.join(counted, "selector_key").drop("selector_key")
+        sums = self.links.join(self.counted, "tuple_key").groupBy(*group)
+        return self.targets.join(
+            sums.agg(F.sum("fact_count").alias("fact_count")), "selector_key"
+        ).drop("selector_key")
 
     def facts_at(self, chosen: DataFrame) -> DataFrame:
         """Facts of each target at its chosen period."""
-        on = ["selector_key", "period_type", "period_value"]
-        asked = chosen.join(self.targets, "target_id")
+        on = ["tuple_key", "period_type", "period_value"]
+        asked = (
+            chosen.join(self.targets, "target_id")
+            .join(self.links, "selector_key")
+            .drop("selector_key")
+        )
         extra = [n for n in self.facts.columns if n not in on and n not in asked.columns]
-        return asked.join(self.facts.select(*on, *extra), on).drop("selector_key")
+        return asked.join(self.facts.select(*on, *extra), on).drop("tuple_key")
 
 
 def matcher(
@@ -153,13 +160,41 @@ def matcher(
     level: str,
     parts: Sequence[Sequence[str]] | None = None,
 ) -> Matcher:
+    """The match of ``level``; ``parts`` names the asked sets if they are known."""
     valid = at_level(targets, level).filter(F.size(unknown_keys()) == 0)
-    found = signatures(valid) if parts is None else parts
-    keys = F.array(*[fact_selector_key(sorted(names)) for names in found])
-    keyed = facts.filter(F.col("geography_level") == level).withColumn(
-        "selector_key", F.explode(F.array_compact(keys))
+    sets = signatures(valid) if parts is None else sorted(sorted(names) for names in parts)
+    used = sorted({key for names in sets for key in names})
+    present = facts.filter(F.col("geography_level") == level)
+    values = [stated(F.col(key)) for key in used]
+    keyed = present.withColumn("tuple_key", fact_selector_key(used))
+    counted = store(
+        keyed.groupBy("tuple_key", *PERIOD, "assertion").agg(
+            F.count(F.lit(1)).alias("fact_count"),
+            # Equal in all rows of a tuple.
+            F.any_value(F.array(*values).cast("array<string>")).alias("_values"),
+        ),
+        "tuples",
+    )
+    # One text per asked set, by the places of its keys in the tuple.
+    places = "array(" + ", ".join(
+        "array(" + ", ".join(str(used.index(key)) for key in names) + ")" if names else "cast(array() as array<int>)"
+        for names in sets
+    ) + ")"
+    names_of = F.array(*[F.lit(key) for key in used]).cast("array<string>")
+    texts = F.transform(
+        F.expr(places if sets else "cast(array() as array<array<int>>)"),
+        lambda at: F.array_join(
+            F.transform(at, lambda i: F.concat(F.get("_names", i), F.get("_values", i))), "|"
+        ),
+    )
+    asked = valid.select("target_id", selector_key().alias("selector_key"))
+    tuples = counted.select("tuple_key", "_values", names_of.alias("_names"))
+    links = (
+        tuples.dropDuplicates(["tuple_key"])
+        .select("tuple_key", F.explode(texts).alias("selector_key"))
+        .join(asked.select("selector_key").distinct(), "selector_key", "left_semi")
     )
-    return Matcher(valid.select("target_id", selector_key().alias("selector_key")), keyed)
+    return Matcher(asked, keyed, counted.drop("_values"), links)
 
 
 def choose_period(matches: DataFrame, requested_type: str, requested: str) -> DataFrame:
@@ -211,15 +246,29 @@ def choose_period(matches: DataFrame, requested_type: str, requested: str) -> Da
     )
 
 
+def declared(alignments: DataFrame) -> DataFrame:
+    """``target_id, alignment, repeated``: an entry that stands more than once is
+    marked and has no alignment."""
+    grouped = alignments.groupBy("target_id").agg(
+        F.count(F.lit(1)).alias("_n"), F.min("alignment").alias("alignment")
+    )
+    return grouped.select(
+        "target_id",
+        F.when(F.col("_n") == 1, F.col("alignment")).alias("alignment"),
+        (F.col("_n") > 1).alias("repeated"),
+    )
+
+
 def with_alignment(targets: DataFrame, alignments: DataFrame) -> DataFrame:
     """Own alignment of each target, else the one declared for ``*``.
 
-    There is at most one ``*`` entry; it is read once and becomes a constant.
+    A repeated entry counts as none; ``resolve`` reports it.
     """
-    own = alignments.filter("target_id != '*'").select(
+    entries = declared(alignments)
+    own = entries.filter("target_id != '*'").select(
         "target_id", F.col("alignment").alias("own_alignment")
     )
-    wild = alignments.filter("target_id = '*'").select("alignment").first()
+    wild = entries.filter("target_id = '*'").select("alignment").first()  # one row at most
     constant = F.lit(None if wild is None else wild["alignment"]).cast("string")
     return targets.join(own, "target_id", "left").withColumn("wild_alignment", constant)
 
@@ -309,8 +358,16 @@ def resolve(
         code.alias("code"),
         F.when(done, "warning").otherwise("error").alias("severity"),
     )
+    repeated = declared(alignments).filter("repeated").select(
+        "target_id",
+        F.lit("repeated_alignment").alias("code"),
+        F.lit("error").alias("severity"),
+    )
+    issues = issues.unionByName(repeated)
     if strict:
-        bad = state.filter(~done).limit(5).collect()
+        bad = state.filter(~done).select("target_id", "outcome").limit(5)
+        again = repeated.select("target_id", F.col("code").alias("outcome")).limit(5)
+        bad = bad.unionByName(again).collect()
         if bad:
             listed = ", ".join(f"{row['target_id']}: {row['outcome']}" for row in bad)
             raise ValueError(f"profile resolution failed: {listed}")

@@ -5,18 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from factloom.plans import resolve as PR
-from factloom.session import materialise
 from factloom.suite.fact_base import SQL_FACTS, order_facts
 from factloom.suite.registry import query, table
 
 REQUESTED = "1997"
-PARTS = [
-    ("record_set_id",),
-    ("record_set_id", "source_name"),
-    ("concept", "record_set_id"),
-    ("assertion", "record_set_id"),
-]
-
 
 def customer_facts(spark, sf):
     """Order count per customer and period; open orders are monthly facts."""
@@ -96,9 +88,7 @@ def own_alignments(spark, sf):
     f"WITH {SQL_CUSTOMER_FACTS} SELECT target_id, pt AS period_type, pv AS period_value, assertion, count(*) AS fact_count FROM mt GROUP BY ALL",
 )
 def jn08(spark, sf):
-    match = PR.matcher(
-        customer_targets(spark, sf), customer_facts(spark, sf), "state", PARTS
-    )
+    match = PR.matcher(customer_targets(spark, sf), customer_facts(spark, sf), "state")
     return match.combinations().drop("period_int")
 
 
@@ -115,9 +105,7 @@ ch AS (SELECT target_id, matched, exact, CASE WHEN exact OR upto IS NOT NULL THE
     f"WITH {SQL_CHOICE} SELECT target_id, CAST(matched AS BIGINT) AS matched, period_type, period_value, exact FROM ch",
 )
 def wn01(spark, sf):
-    match = PR.matcher(
-        customer_targets(spark, sf), customer_facts(spark, sf), "state", PARTS
-    )
+    match = PR.matcher(customer_targets(spark, sf), customer_facts(spark, sf), "state")
     return PR.choose_period(match.combinations(), "calendar_year", REQUESTED)
 
 
@@ -136,8 +124,8 @@ oc AS (SELECT target_id, c_acctbal > 5000 AS own, exact, period_type, period_val
 )
 def pt01(spark, sf):
     targets = customer_targets(spark, sf)
-    facts = materialise(customer_facts(spark, sf), "profile-facts")
-    match = PR.matcher(targets, facts, "state", PARTS)
+    facts = customer_facts(spark, sf)
+    match = PR.matcher(targets, facts, "state")
     state = PR.outcomes(
         targets, match, "calendar_year", REQUESTED, own_alignments(spark, sf), "state"
     )
@@ -170,7 +158,6 @@ def pt01_violations(spark, sf):
         REQUESTED,
         own_alignments(spark, sf),
         "state",
-        PARTS,
     ).violations
 
 
@@ -187,7 +174,7 @@ def pt02(spark, sf):
         F.lit("*").alias("target_id"), F.lit("carried").alias("alignment")
     )
     targets = customer_targets(spark, sf)
-    match = PR.matcher(targets, customer_facts(spark, sf), "state", PARTS)
+    match = PR.matcher(targets, customer_facts(spark, sf), "state")
     return PR.outcomes(
         targets, match, "calendar_year", REQUESTED, own.unionByName(wild), "state"
     ).select("target_id", "outcome", "alignment", "warning")
@@ -206,7 +193,6 @@ def ag06(spark, sf):
         customer_targets(spark, sf),
         customer_facts(spark, sf),
         ["state", "country"],
-        PARTS,
     )
 
 
@@ -236,9 +222,7 @@ def jn08_nested(spark, sf):
             level,
         )
     )
-    match = PR.matcher(
-        targets, facts, "state", [("record_set_id",), ("dimensions", "entity")]
-    )
+    match = PR.matcher(targets, facts, "state")
     return match.combinations().groupBy("target_id").agg(
         F.sum("fact_count").alias("facts")
     )

@@ -138,3 +138,67 @@ def test_a_null_selector_value_meets_only_facts_without_it(spark):
     by = {r["source_name"]: r["k"] for r in found}
     assert by[None] == keys[1] and by["a"] != keys[1] and keys[2] == ""
     assert len({*PR.signatures(targets)}) == 2
+
+
+def test_many_asked_sets_equal_brute_force(spark):
+    """Any sets of keys at once; tuples, not facts, are expanded to them."""
+    import itertools
+    import random
+
+    rng = random.Random(8)
+    names = ["assertion", "concept", "domain", "entity", "source_name", "source_table"]
+    pick = lambda: rng.choice(["a", "b", "a|b", "x=1", None])
+    facts = []
+    for _ in range(400):
+        kind, value = rng.choice([("calendar_year", 1990 + rng.randint(0, 3)), ("month", None)])
+        facts.append((*[pick() for _ in names], "state", kind, str(value), value))
+    facts = facts * 3 + [(*["a"] * 6, "country", "calendar_year", "1990", 1990)]
+    targets = []
+    for n in range(len(names) + 1):
+        for keys in itertools.combinations(names, n):
+            targets.append((f"t{len(targets)}", {k: pick() for k in keys}, ["state"]))
+    fact_columns = ", ".join(f"{n} string" for n in names)
+    frame = spark.createDataFrame(
+        facts, f"{fact_columns}, geography_level string, period_type string, period_value string, period_int long"
+    )
+    asked = spark.createDataFrame(
+        targets, "target_id string, selector map<string,string>, geography_levels array<string>"
+    )
+    match = PR.matcher(asked, frame, "state")
+    found = {
+        (r["target_id"], r["period_type"], r["period_value"], r["assertion"]): r["fact_count"]
+        for r in match.combinations().collect()
+    }
+    expected = {}
+    for target, selector, _ in targets:
+        for fact in facts:
+            held = dict(zip(names, fact))
+            if fact[6] == "state" and all(held[k] == v for k, v in selector.items()):
+                key = (target, fact[7], fact[8], held["assertion"])
+                expected[key] = expected.get(key, 0) + 1
+    assert found == expected
+    assert match.links.count() <= match.counted.select("tuple_key").distinct().count() * len(targets)
+    chosen = asked.select("target_id", F.lit("calendar_year").alias("period_type"), F.lit("1991").alias("period_value"))
+    rows = match.facts_at(chosen).groupBy("target_id").count().collect()
+    wanted = {}
+    for (target, kind, value, _), n in expected.items():
+        if (kind, value) == ("calendar_year", "1991"):
+            wanted[target] = wanted.get(target, 0) + n
+    assert {r["target_id"]: r["count"] for r in rows} == wanted
+
+
+def test_repeated_alignments_are_issues(spark):
+    facts = spark.createDataFrame(
+        [("s", "state", "calendar_year", "1990", 1990, "observation")],
+        "source_name string, geography_level string, period_type string, period_value string, period_int long, assertion string",
+    )
+    targets = spark.createDataFrame(
+        [("t", {"source_name": "s"}, ["state"])],
+        "target_id string, selector map<string,string>, geography_levels array<string>",
+    )
+    for entries, outcome in (([("*", "a"), ("*", "b")], "violation"), ([("*", "a")], "resolved")):
+        given = spark.createDataFrame(entries, "target_id string, alignment string")
+        report = PR.resolve(targets, facts, "calendar_year", "1995", given, "state")
+        assert (report.violations.count() == 1) == (outcome == "violation")
+        codes = [(r["target_id"], r["code"], r["severity"]) for r in report.issues.collect()]
+        assert codes == ([("*", "repeated_alignment", "error")] if len(entries) > 1 else [])
