@@ -1,9 +1,10 @@
 """Evidence check: what a fact states must be backed by its source rows.
 
-Every fact makes claims: its period, each filter, each constraint.  A claim
-is looked up by name in the rows of the fact's lineage.  Only the (row, name)
-pairs that claims ask for are joined, and results are folded per claim, so
-facts with long lineage or rows shared by many facts need no wide products.
+Every fact makes claims: its period, each filter, each constraint.  Claims are
+derived once and written.  Each row of a fact's lineage, as one map from name to
+value, judges all claims of the fact; the judgements are counts and sets of
+bands, which fold per claim in any order.  Names are worked out once per distinct
+variable, not per claim.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ from factloom.functions.scalars import (
 )
 from factloom.operators.coverage import side_by_side
 from factloom.plans.facts import effective_constraints
+from factloom.session import store
 
 # --- fixed values ---------------------------------------------------------------
 AGE_NAMES = ["age", "personage"]
@@ -52,7 +54,6 @@ def claims() -> Column:
             variable.alias("variable"),
             operator.alias("operator"),
             expected.alias("expected"),
-            semantic_candidates(variable).alias("names"),
         )
 
     period = F.array(
@@ -76,52 +77,41 @@ def _any_name(names: Column, known: list[str]) -> Column:
     return F.arrays_overlap(names, F.array(*[F.lit(name) for name in known]))
 
 
-def lookups() -> Column:
-    """Names a claim asks for: ``array<struct<role, name, rank>>``."""
-    names = F.col("names")
-    constraint = F.col("kind") == "constraint"
-    side = F.when(F.col("operator").isin(">", ">="), "lower").when(
-        F.col("operator").isin("<", "<="), "upper"
-    )
-    none = F.array().cast("array<struct<role:string,name:string,rank:int>>")
-
-    def role(label: str, texts: Column) -> Column:
-        return F.transform(
-            texts,
-            lambda text, i: F.struct(
-                F.lit(label).alias("role"), text.alias("name"), i.alias("rank")
-            ),
-        )
-
-    bound_names = F.flatten(
+def lexicon(variables: DataFrame) -> DataFrame:
+    """Per distinct ``variable`` the names it is known by and what it is about."""
+    names = semantic_candidates(F.col("variable"))
+    bounds = lambda side: F.flatten(
         F.transform(
-            names,
-            lambda name: F.array(
-                F.concat(name, side, F.lit("bound")), F.concat(name, side)
-            ),
+            "names",
+            lambda name: F.array(F.concat(name, F.lit(f"{side}bound")), F.concat(name, F.lit(side))),
         )
     )
-    is_age, is_income = _any_name(names, AGE_NAMES), _any_name(names, INCOME_NAMES)
-    code = F.array(F.lit(INCOME_CODE_COLUMN))
-    ranged = semantic_name(F.col("variable")) == INCOME_RANGE
-    return F.concat(
-        role("direct", names),
-        F.when(constraint & side.isNotNull() & ~is_age, role("bound", bound_names)).otherwise(
-            none
-        ),
-        F.when(
-            constraint & is_age, role("age", F.array(*[F.lit(n) for n in AGE_COLUMNS]))
-        ).otherwise(none),
-        F.when((constraint & is_income) | ranged, role("code", code)).otherwise(none),
+    return variables.select(F.col("variable").alias("_word"), names.alias("names")).select(
+        "_word",
+        "names",
+        bounds("lower").alias("lower_names"),
+        bounds("upper").alias("upper_names"),
+        _any_name(F.col("names"), AGE_NAMES).alias("is_age"),
+        _any_name(F.col("names"), INCOME_NAMES).alias("is_income"),
+        _any_name(F.col("names"), CHILD_NAMES).alias("is_child"),
+        (semantic_name(F.col("_word")) == INCOME_RANGE).alias("is_range"),
+        (semantic_name(F.col("_word")) == CHILD_FILTER).alias("is_child_filter"),
     )
 
 
-def row_index(row_values: DataFrame) -> DataFrame:
-    """``row_key, name, value``: the last column of a row with each name wins."""
-    return (
-        row_values.withColumn("name", semantic_name(F.col("raw_name")))
-        .groupBy("row_key", "name")
-        .agg(F.max_by("value_text", "position").alias("value"))
+def row_maps(row_values: DataFrame) -> DataFrame:
+    """``row_key, columns``: a row's values by name; of equal names the last wins."""
+    latest_first = F.sort_array(
+        F.collect_list(
+            F.struct("position", semantic_name(F.col("raw_name")).alias("name"), F.col("value_text").alias("value"))
+        ),
+        asc=False,
+    )
+    rows = row_values.groupBy("row_key").agg(latest_first.alias("_cells"))
+    names = F.transform("_cells", lambda c: c["name"])
+    kept = F.filter("_cells", lambda c, i: F.array_position(names, c["name"]) == i + 1)
+    return rows.select(
+        "row_key", F.map_from_entries(F.transform(kept, lambda c: F.struct(c["name"], c["value"]))).alias("columns")
     )
 
 
@@ -158,99 +148,92 @@ def _backed(facts: DataFrame, fact_id: str) -> DataFrame:
     )
 
 
-def _asked(backed: DataFrame, fact_id: str, cells: DataFrame) -> DataFrame:
-    """One row per claim with the header codes of its fact."""
-    return (
-        backed.select(fact_id, "row_count", "claims")
-        .join(cell_evidence(backed, fact_id, cells), fact_id, "left")
-        .select(
-            fact_id,
-            "row_count",
-            "cell_children",
-            "cell_bands",
-            F.posexplode("claims").alias("claim", "item"),
-        )
-        .select("*", "item.*")
-        .drop("item")
+def _judged(backed: DataFrame, fact_id: str, row_values: DataFrame) -> DataFrame:
+    """One row per claim and lineage row: what the row says about the claim."""
+    words = backed.select(F.explode("claims.variable").alias("variable")).distinct()
+    met = (
+        backed.select(fact_id, F.explode("source_row_keys").alias("row_key"), "row_count", "claims")
+        .join(row_maps(row_values), "row_key", "left")
+        .select(fact_id, "row_count", "columns", F.posexplode("claims").alias("claim", "item"))
+        .select(fact_id, "row_count", "columns", "claim", "item.*")
     )
+    known = met.join(lexicon(words), F.col("variable") == F.col("_word"))
+    columns = F.coalesce("columns", F.create_map().cast("map<string,string>"))
+    known = known.withColumn("columns", columns)
 
+    def first(names: Column) -> Column:
+        """The value under the first of ``names`` that the row has, in a struct."""
+        hit = F.get(F.filter(names, lambda n: F.map_contains_key("columns", n)), F.lit(0))
+        return F.when(hit.isNotNull(), F.struct(F.element_at("columns", hit).alias("v")))
 
-def _found(backed: DataFrame, fact_id: str, row_values: DataFrame) -> DataFrame:
-    """One row per (claim, lineage row): the best ranked value of each role."""
-    wanted = (
-        backed.select(fact_id, F.explode("source_row_keys").alias("row_key"), "claims")
-        .select(fact_id, "row_key", F.posexplode("claims").alias("claim", "item"))
-        .select(fact_id, "row_key", "claim", "item.*")
-        .withColumn("look", F.explode(lookups()))
-        .select(fact_id, "row_key", "claim", "variable", "operator", "expected", "look.*")
-    )
-    found = wanted.join(row_index(row_values), ["row_key", "name"]).withColumn(
-        "band", F.when(F.col("role") == "age", age_band(F.col("value")))
+    operator, expected = F.col("operator"), F.col("expected")
+    constraint = F.col("kind") == "constraint"
+    side = F.when(operator.isin(">", ">="), F.col("lower_names")).when(
+        operator.isin("<", "<="), F.col("upper_names")
     )
-
-    def best(role: str, value: Column, test: Column | None = None) -> Column:
-        use = F.col("role") == role
-        use = use if test is None else use & test
-        return F.min_by(
-            F.when(use, F.struct(value.alias("v"))), F.when(use, F.col("rank"))
-        )
-
-    per_row = found.groupBy(
-        fact_id, "claim", "row_key", "variable", "operator", "expected"
-    ).agg(
-        best("direct", F.col("value")).alias("_direct"),
-        best("bound", F.col("value")).alias("_bound"),
-        best("age", F.col("band"), F.col("band").isNotNull()).alias("_age"),
-        best("code", F.col("value")).alias("_code"),
+    aged = F.coalesce(*[age_band(F.try_element_at("columns", F.lit(n))) for n in AGE_COLUMNS])
+    coded = (constraint & F.col("is_income")) | F.col("is_range")
+    code = income_code_band(F.try_element_at("columns", F.lit(INCOME_CODE_COLUMN)))
+    looked = known.withColumns(
+        {
+            "_direct": first(F.col("names")),
+            "_bound": F.when(constraint & ~F.col("is_age") & side.isNotNull(), first(side)),
+            "_band": F.when(constraint & F.col("is_age"), aged),
+            "_range": F.when(coded, code),
+            "_number": number_or_null(expected),
+        }
     )
-    code = income_code_band(F.col("_code.v"))
-    return per_row.withColumn("_range", F.when(F.col("_code").isNotNull(), code))
-
-
-def _folded(per_row: DataFrame, fact_id: str) -> DataFrame:
-    """Counts of agreeing and disagreeing rows per claim."""
-    variable, operator, expected = F.col("variable"), F.col("operator"), F.col("expected")
-    ranged = semantic_name(variable) == INCOME_RANGE
-    by_code = ranged & F.col("_range").isNotNull()
-    direct = F.when(by_code, F.col("_range.label")).otherwise(F.col("_direct.v"))
-    staged = per_row.withColumns(
+    by_code = F.col("is_range") & F.col("_range").isNotNull()
+    staged = looked.withColumns(
         {
             "_has": by_code | F.col("_direct").isNotNull(),
-            "_value": direct,
-            "_ranged": ranged,
-            "_number": number_or_null(expected),
+            "_value": F.when(by_code, F.col("_range.label")).otherwise(F.col("_direct.v")),
             "_bound_number": number_or_null(F.col("_bound.v")),
         }
     )
     value = F.col("_value")
-    inside = F.col("_ranged") & band_contains(
-        income_bounds(expected), income_bounds(value)
-    )
+    inside = F.col("is_range") & band_contains(income_bounds(expected), income_bounds(value))
     agrees = F.when(operator.isNull(), loose_equal(value, expected) | inside).otherwise(
         operator_match(value, operator, expected)
     )
     bound_ok = F.col("_bound").isNotNull() & (F.col("_bound_number") == F.col("_number"))
-    lower, upper = F.col("_range.lo"), F.col("_range.hi")
-    judged = staged.select(
+    about = F.struct(
+        "kind", "variable", "operator", "expected", "row_count",
+        "is_age", "is_income", "is_child", "is_child_filter",
+    )
+    return staged.select(
         fact_id,
         "claim",
+        about.alias("about"),
         "_has",
         (F.col("_has") & ~F.coalesce(agrees, F.lit(False))).alias("_wrong"),
         F.coalesce(bound_ok, F.lit(False)).alias("_bound_ok"),
-        F.col("_age.v").alias("_band"),
+        "_band",
         "_range",
     )
-    return judged.groupBy(fact_id, "claim").agg(
-        F.count_if("_has").alias("direct_rows"),
-        F.count_if("_wrong").alias("mismatches"),
-        F.count_if("_bound_ok").alias("bound_rows"),
-        F.count("_band").alias("age_rows"),
-        F.collect_set("_band").alias("bands"),
-        F.count("_range").alias("code_rows"),
-        F.count(lower).alias("lower_rows"),
-        F.count(upper).alias("upper_rows"),
-        F.min(lower).alias("code_lower"),
-        F.max(upper).alias("code_upper"),
+
+
+def _folded(judged: DataFrame, fact_id: str) -> DataFrame:
+    """Counts of agreeing and disagreeing rows per claim; bands are one per year
+    of age at most."""
+    lower, upper = F.col("_range.lo"), F.col("_range.hi")
+    return (
+        judged.groupBy(fact_id, "claim")
+        .agg(
+            F.any_value("about").alias("about"),
+            F.count_if("_has").alias("direct_rows"),
+            F.count_if("_wrong").alias("mismatches"),
+            F.count_if("_bound_ok").alias("bound_rows"),
+            F.count("_band").alias("age_rows"),
+            F.collect_set("_band").alias("bands"),
+            F.count("_range").alias("code_rows"),
+            F.count(lower).alias("lower_rows"),
+            F.count(upper).alias("upper_rows"),
+            F.min(lower).alias("code_lower"),
+            F.max(upper).alias("code_upper"),
+        )
+        .select("*", "about.*")
+        .drop("about")
     )
 
 
@@ -264,11 +247,10 @@ def evidence_issues(
     raw, display``.  Facts without row lineage are another check's business.
     The result has one row per claim: its code and how many rows disagree.
     """
-    backed = _backed(facts, fact_id)
-    folded = _folded(_found(backed, fact_id, row_values), fact_id)
+    backed = store(_backed(facts, fact_id), "claims")
+    folded = _folded(_judged(backed, fact_id, row_values), fact_id)
     return (
-        _asked(backed, fact_id, cells)
-        .join(folded, [fact_id, "claim"], "left")
+        folded.join(cell_evidence(backed, fact_id, cells), fact_id, "left")
         .select(fact_id, "claim", "kind", "variable", _verdict().alias("v"))
         .select(fact_id, "claim", "kind", "variable", "v.*")
         .filter(F.col("code").isNotNull())
@@ -277,13 +259,12 @@ def evidence_issues(
 
 def _verdict() -> Column:
     """``struct<code, mismatches>`` of one claim; code is null when backed."""
-    variable, operator, expected = F.col("variable"), F.col("operator"), F.col("expected")
-    names = F.col("names")
+    operator, expected = F.col("operator"), F.col("expected")
     number = number_or_null(expected)
     zero = lambda name: F.coalesce(F.col(name), F.lit(0))
     rows = F.col("row_count")
 
-    is_age = _any_name(names, AGE_NAMES)
+    is_age = F.col("is_age")
     no_bands = F.array().cast(f"array<{BAND}>")
     age_by_rows = (zero("age_rows") == rows) & bands_match(
         F.coalesce("bands", no_bands), operator, expected
@@ -298,7 +279,7 @@ def _verdict() -> Column:
         (F.col("upper_rows") == F.col("code_rows")) & (F.col("code_upper") == number),
     )
     by_rows = F.when(is_age, age_by_rows).otherwise(
-        bound | (_any_name(names, INCOME_NAMES) & all_coded & F.coalesce(code_edge, F.lit(False)))
+        bound | (F.col("is_income") & all_coded & F.coalesce(code_edge, F.lit(False)))
     )
 
     counts = F.coalesce("cell_children", F.array().cast("array<int>"))
@@ -306,14 +287,14 @@ def _verdict() -> Column:
         counts, lambda n: operator_match(n.cast("string"), operator, expected)
     )
     cell_bands = F.coalesce("cell_bands", no_bands)
-    by_cells = F.when(_any_name(names, CHILD_NAMES), child_by_cells).otherwise(
+    by_cells = F.when(F.col("is_child"), child_by_cells).otherwise(
         is_age & (F.size(cell_bands) > 0) & bands_match(cell_bands, operator, expected)
     )
 
     wanted = F.when(F.lower(F.trim(expected)).isin("3plus", "3+"), 3).otherwise(
         number.cast("int")
     )
-    filter_by_cells = (semantic_name(variable) == CHILD_FILTER) & F.coalesce(
+    filter_by_cells = F.col("is_child_filter") & F.coalesce(
         F.array_contains(counts, wanted), F.lit(False)
     )
 

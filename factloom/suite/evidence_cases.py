@@ -108,6 +108,41 @@ def vl11(spark, sf):
     return E.evidence_issues(facts, "seq", row_values, cells).drop("claim")
 
 
+@query(
+    "vl11_evidence_of_pairs",
+    f"""
+    WITH {SQL_FACTS}, {SQL_EVIDENCE}
+    SELECT seq, kind, variable, code, mismatches * 2 AS mismatches FROM ev
+    UNION ALL SELECT seq, 'filter', 'trade_region', 'row_filter_value_mismatch', 1 FROM facts WHERE seg = 'AUTOMOBILE'
+    UNION ALL SELECT seq, 'constraint', 'trade_region', 'row_constraint_value_mismatch', 1 FROM facts WHERE st <> 'O' AND seg = 'AUTOMOBILE'""",
+)
+def vl11_pairs(spark, sf):
+    """Two rows and two cells per fact; the second row of one source disagrees."""
+    facts, row_values, cells = evidence_tables(spark, sf)
+    key = F.col("seq").cast("string")
+    mark = F.when(F.col("source.source_name") == "bureau_automobile", F.lit("x")).otherwise(F.lit("y"))
+    second = F.concat(mark, key)
+    facts = facts.withColumns(
+        {"source_row_keys": F.array(key, second), "source_cell_keys": F.array(second, key)}
+    )
+    wrong = (F.col("copy_key").startswith("x")) & (F.col("raw_name") == "Trade Region")
+    copies = row_values.withColumn("copy_key", F.explode(F.array(*[F.concat(F.lit(m), "row_key") for m in "xy"])))
+    copies = copies.select(
+        F.col("copy_key").alias("row_key"),
+        "position",
+        "raw_name",
+        F.when(wrong, "RY").otherwise(F.col("value_text")).alias("value_text"),
+    )
+    plain = cells.select(
+        F.explode(F.array(*[F.concat(F.lit(m), "cell_key") for m in "xy"])).alias("cell_key"),
+        F.lit("header").alias("raw"),
+        "display",
+    )
+    return E.evidence_issues(
+        facts, "seq", row_values.unionByName(copies), cells.unionByName(plain)
+    ).drop("claim")
+
+
 @query(
     "vl10_acceptance_gate",
     f"""
