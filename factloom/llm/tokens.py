@@ -62,7 +62,7 @@ class Encoder:
     _known: dict[tuple, "Encoder"] = {}
 
     #: Units that a memo holds, about 200 bytes each.
-    ROOM = 1_500_000
+    ROOM = 900_000
 
     def __init__(self, path: str, cut: str, room: int | None = None, added: bool = False):
         import os
