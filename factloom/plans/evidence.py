@@ -101,17 +101,23 @@ def lexicon(variables: DataFrame) -> DataFrame:
 
 def row_maps(row_values: DataFrame) -> DataFrame:
     """``row_key, columns``: a row's values by name; of equal names the last wins."""
-    latest_first = F.sort_array(
+    cells = F.sort_array(
         F.collect_list(
-            F.struct("position", semantic_name(F.col("raw_name")).alias("name"), F.col("value_text").alias("value"))
-        ),
-        asc=False,
+            F.struct(
+                semantic_name(F.col("raw_name")).alias("name"),
+                (-F.col("position")).alias("order"),
+                F.col("value_text").alias("value"),
+            )
+        )
+    )
+    rows = row_values.groupBy("row_key").agg(cells.alias("_cells"))
+    # Equal names are neighbours, the last column first.
+    kept = F.filter(
+        "_cells", lambda c, i: (i == 0) | (F.get("_cells", i - 1)["name"] != c["name"])
     )
-    rows = row_values.groupBy("row_key").agg(latest_first.alias("_cells"))
-    names = F.transform("_cells", lambda c: c["name"])
-    kept = F.filter("_cells", lambda c, i: F.array_position(names, c["name"]) == i + 1)
     return rows.select(
-        "row_key", F.map_from_entries(F.transform(kept, lambda c: F.struct(c["name"], c["value"]))).alias("columns")
+        "row_key",
+        F.map_from_entries(F.transform(kept, lambda c: F.struct(c["name"], c["value"]))).alias("columns"),
     )
 
 
