@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from factloom.llm.common import restored, shielded, stored, table
+from factloom.llm.common import restored, shielded, small_batches, stored, table
 from factloom.llm.mixing import with_copies
 from factloom.llm.near_duplicates import one_of_each
 from factloom.llm.packing import pack
@@ -25,6 +25,7 @@ ORACLE_SQL = None
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality model rejects go."""
+    small_batches(spark)
     needed = ("doc_id", "text", "lang")
     rows = judged(shielded(docs, needed), table(spark, sf_dir, "labels"))
     return restored(rows.filter("keep"), docs.columns, needed)
@@ -32,21 +33,25 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays, the one of least id."""
+    small_batches(spark)
     return one_of_each(docs)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data is replaced by the name of its kind."""
+    small_batches(spark)
     return without_personal_data(docs)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the target weights of the sources take it."""
+    small_batches(spark)
     return with_copies(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces with their ids and their place in a sequence of 4096 tokens."""
+    small_batches(spark)
     return pack(docs)
 
 

@@ -55,6 +55,16 @@ def if_few(rows: DataFrame) -> DataFrame:
     return F.broadcast(rows) if rows.count() <= FEW else rows
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Rows with whole texts go to Python in batches of some megabytes.
+
+    A batch is held several times at once, in the executor and in its worker; by
+    default it has 10 000 rows, whatever their size.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 * 2**20))
+
+
 _holder: list = []
 
 

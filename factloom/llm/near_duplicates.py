@@ -31,7 +31,7 @@ SIMILARITY = 0.8
 BANDS, ROWS = 28, 5
 REGISTERS = BANDS * ROWS
 #: Characters whose shingles are held at a time, about 44 bytes each.
-SLICE = 1_000_000
+SLICE = 300_000
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2^64
 _SPACE = np.zeros(256, bool)
