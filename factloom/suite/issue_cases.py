@@ -9,6 +9,7 @@ from factloom.operators import issues as I
 from factloom.operators import selectors as L
 from factloom.plans import facts as P
 from factloom.plans import rules as PRU
+from factloom.plans import schema as PS
 from factloom.session import materialise
 from factloom.suite.fact_base import SQL_FACTS, SQL_KEYED, order_facts
 from factloom.suite.registry import query, sql_digest, sql_record, table
@@ -283,6 +284,79 @@ def vl05_first(spark, sf):
     return I.first_error(vl05(spark, sf), ["o_orderkey"]).drop("code")
 
 
+#: One way to spoil a contract row: text to replace, its new text, the error.
+SPOILED = [
+    ('"schema_version":"consumer_fact.v1"', '"schema_version":"consumer_fact.v9"', "schema_version", "const"),
+    ('"value":7.5', '"value":null', "value", "type"),
+    ('"value":1997', '"value":1997.5', "period/value", "type"),
+    ('"type":"calendar_year"', '"type":"calendar_year","x":1', "period", "additionalProperties"),
+    ('"id":"g1"', '"id":1', "geography/id", "type"),
+    ('"name":"household"', '"role":"r"', "entity", "required"),
+    ('{"method":"sum"}', '["sum"]', "aggregation", "type"),
+    ('"dimensions":{"a":"b"}', '"dimensions":{"a":{"b":1}}', "dimensions/a", "type"),
+    ('"operator":"<",', "", "universe_constraints/constraints/1", "required"),
+    ('"value":"low"', '"value":null', "universe_constraints/constraints/0/value", "type"),
+    ('"source_size_bytes":11', '"source_size_bytes":"11"', "source/source_size_bytes", "type"),
+    ('"c2"', "2", "lineage/source_cell_keys/1", "type"),
+    ("concept_alignment.v2:", "concept_alignment.v3:", "concept_alignment/concept_alignment_key", "pattern"),
+    ('"basis":"tax"', '"basis":"taxes"', "period_coverage/basis", "enum"),
+    ('"provenance_class":"census"', '"provenance_class":"survey_aggregate"', "<root>", "required"),
+    ('"provenance_class":"census"', '"provenance_class":"census","survey_instrument":"s"', "<root>", "not"),
+    ('"provenance_class":"census"', '"provenance_class":"survey_aggregate","survey_instrument":" "', "survey_instrument", "pattern"),
+    ('"label":"l"}', '"label":"l"', "<root>", "not_json"),
+    ('"value_type":"number"', '"value_type":"numeric"', "value_type", "enum"),
+    ('"label":"l"', '"label":"l","extra":{}', "<root>", "additionalProperties"),
+]
+
+
+@query(
+    "vl05_nested_schema",
+    "WITH s(i, location, rule) AS (VALUES "
+    + ", ".join(f"({i}, '{location}', '{rule}')" for i, (_, _, location, rule) in enumerate(SPOILED, 1))
+    + f") SELECT o_orderkey, location, rule FROM orders JOIN s ON o_orderkey % {len(SPOILED) + 1} = i",
+)
+def vl05_nested(spark, sf):
+    digest = F.substring(F.sha2(F.col("o_orderkey").cast("string"), 256), 1, 24)
+    keyed = lambda space: F.concat(F.lit(f"{space}:"), digest)
+    words = lambda **fields: F.struct(*[F.lit(v).alias(k) for k, v in fields.items()])
+    terms = F.array(
+        words(variable="a", operator=">", value="low", role="filter"),
+        words(variable="b", operator="<", value="high", role="filter"),
+    )
+    source = {name: "s" for name in PS.SOURCE_TEXTS} | {"source_size_bytes": 11, "more": True}
+    body = {
+        "schema_version": F.lit("consumer_fact.v1"),
+        **{name: keyed(space) for name, space in PRU.ROW_KEY_SPACES.items()},
+        "value": F.lit(7.5),
+        "value_type": F.lit("number"),
+        "assertion": F.lit("observation"),
+        "provenance_class": F.lit("census"),
+        "period": words(type="calendar_year", value=1997),
+        "period_coverage": words(basis="tax", accounting_basis="cash"),
+        "geography": words(level="state", id="g1"),
+        "entity": words(name="household"),
+        "aggregation": words(method="sum"),
+        "observed_measure": words(source_name="s", source_table="t", source_measure_id="m", source_concept="c", unit="u"),
+        "dimensions": F.create_map(F.lit("a"), F.lit("b")),
+        "universe_constraints": F.struct(F.lit("d").alias("domain"), terms.alias("constraints")),
+        "source": words(**source),
+        "lineage": F.struct(F.lit("r").alias("source_record_id"), F.array(F.lit("c1"), F.lit("c2")).alias("source_cell_keys")),
+        "concept_alignment": F.struct(
+            keyed("concept_alignment.v2").alias("concept_alignment_key"),
+            *[F.lit("x").alias(n) for n in ("source_concept", "canonical_concept", "relation", "authority")],
+        ),
+        "label": F.lit("l"),
+    }
+    text = F.to_json(F.struct(*[column.alias(name) for name, column in body.items()]))
+    spoil = F.array(*[words(old=old, new=new) for old, new, _, _ in SPOILED])
+    how = F.get(spoil, (F.col("o_orderkey") % (len(SPOILED) + 1) - 1).cast("int"))
+    lines = table(spark, sf, "orders", heavy=True).select("o_orderkey", text.alias("text"), how.alias("how"))
+    lines = lines.withColumn(
+        "text", F.when(F.col("how").isNull(), F.col("text")).otherwise(F.replace("text", F.col("how.old"), F.col("how.new")))
+    )
+    return PS.first_schema_error(lines, ["o_orderkey"], "text", PS.contract_row_schema()).drop("detail")
+
+
 @query(
     "vl06_non_finite",
     "SELECT event_id FROM events WHERE event_type IN ('error', 'signup', 'view')",
