@@ -262,7 +262,7 @@ TEXT = {"type": "string"}
 TEXTS = {"type": "array", "items": TEXT}
 SOURCE_TEXTS = [
     "source_name", "source_table", "source_file", "vintage", "extracted_at",
-    "extraction_method", "source_sha256", "raw_r2_uri",
+    "extraction_method", "source_sha256", "raw_uri",
 ]
 PERIOD_BASES = ["calendar", "tax", "fiscal", "survey_reference", "projection_horizon"]
 ACCOUNTING_BASES = ["cash", "accrual"]
@@ -317,7 +317,7 @@ def contract_row_schema(version: str = "consumer_fact.v1") -> dict:
             **open_object,
             "required": [*SOURCE_TEXTS, "source_size_bytes"],
             "properties": {
-                **{n: TEXT for n in [*SOURCE_TEXTS, "url", "method_notes", "raw_r2_bucket", "raw_r2_key"]},
+                **{n: TEXT for n in [*SOURCE_TEXTS, "url", "method_notes", "raw_bucket", "raw_key"]},
                 "source_size_bytes": {"type": "integer"},
             },
         },

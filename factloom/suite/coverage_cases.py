@@ -9,6 +9,7 @@ from factloom.functions import keys as K
 from factloom.operators import coverage as V
 from factloom.operators import reshape as R
 from factloom.operators import sequence as Q
+from factloom.plans import bundle as BU
 from factloom.plans import facts as P
 from factloom.session import materialise
 from factloom.sources import store as T
@@ -476,6 +477,45 @@ def set01(spark, sf):
     return V.bundle_union(parts)
 
 
+@query(
+    "set01_build_bundle",
+    f"""
+    WITH {SQL_FACTS}, good AS (SELECT * FROM facts WHERE seg <> 'FURNITURE'),
+    dup AS (SELECT count(*) AS n FROM good GROUP BY period_type, period_value, geography_level, geography_id, st, entity_name, seg, y, assertion,
+      filing_status, agi_lower_usd, agi_upper_usd, eitc_child_count, income_range, trade_region HAVING count(*) > 1)
+    SELECT 'package' AS part, source_name AS name, CASE seg WHEN 'FURNITURE' THEN 'failed' ELSE 'built' END AS key, count(*) AS n FROM facts GROUP BY ALL
+    UNION ALL SELECT 'package_build_failed', 'bureau_furniture', 'assertion: enum', count(*) FROM facts WHERE seg = 'FURNITURE' AND pr = '1'
+    UNION ALL SELECT 'package_without_rows', 'bureau_of_nothing', NULL, NULL
+    UNION ALL SELECT 'duplicate_aggregate_fact_key', NULL, NULL, n FROM dup
+    UNION ALL SELECT 'source', source_name, NULL, count(*) FROM good GROUP BY 2
+    UNION ALL SELECT 'period', period_value, NULL, count(*) FROM good GROUP BY 2
+    UNION ALL SELECT 'geography', geography_level, NULL, count(*) FROM good GROUP BY 2
+    UNION ALL SELECT 'entity', entity_name, NULL, count(*) FROM good GROUP BY 2
+    UNION ALL SELECT 'assertion', assertion, NULL, count(*) FROM good GROUP BY 2""",
+)
+def set01_build(spark, sf):
+    """Facts to contract rows to a bundle; one package breaks the contract."""
+    rows = P.consumer_rows(order_facts(spark, sf))
+    package = F.col("source.source_name")
+    spoil = (package == "bureau_furniture") & (F.col("entity.name") == "household")
+    rows = rows.withColumn("assertion", F.when(spoil, "guess").otherwise(F.col("assertion")))
+    lines = rows.select(package.alias("package"), BU.contract_json(rows).alias("text"))
+    requested = lines.select("package").distinct().unionByName(
+        spark.createDataFrame([("bureau_of_nothing",)], "package string")
+    )
+    bundle = BU.build_bundle(lines, requested)
+    none = F.lit(None).cast("string")
+    return (
+        bundle.packages.select(F.lit("package").alias("part"), F.col("package").alias("name"), F.col("state").alias("key"), F.col("row_count").alias("n"))
+        .unionByName(
+            bundle.issues.filter("severity = 'error'").select(
+                F.col("code").alias("part"), F.col("package").alias("name"), F.col("detail").alias("key"), "n"
+            )
+        )
+        .unionByName(bundle.counts.select(F.col("dim").alias("part"), F.col("key").alias("name"), none.alias("key"), "n"))
+    )
+
+
 @query(
     "set02_key_sets",
     """
