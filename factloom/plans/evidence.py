@@ -41,6 +41,7 @@ CHILD_NAMES = ["earnedincomecreditqualifyingchildren", "eitcqualifyingchildren"]
 INCOME_CODE_COLUMN = "agistub"
 INCOME_RANGE = "incomerange"
 CHILD_FILTER = "eitcchildcount"
+SELECTED_ROWS_PARSER = "delimited_text_selected_rows"
 # ---------------------------------------------------------------------------------
 
 
@@ -331,9 +332,18 @@ def acceptance(
     needs_constraints: Column,
     has_constraints: Column,
     fact_id: str = "seq",
+    parsers: DataFrame | None = None,
+    registry: DataFrame | None = None,
+    require_validation: bool = False,
 ) -> DataFrame:
     """Acceptance gate: one row of counts and named checks.
 
+    ``parsers`` (``parser`` of each source) adds the check that no source was read
+    by selected rows only.  ``registry`` (``concept, valid``, one row per known
+    concept) adds the checks that no aligned concept is invalid and, with
+    ``require_validation``, that all of them are known there; without it an
+    unknown concept is counted only.
+
     Each input is reduced to one row of counts before they are put together,
     so nothing but counters crosses between the stages.  Facts with an unresolved
     row key are counted as such; their evidence is not judged.
@@ -391,6 +401,20 @@ def acceptance(
             F.count_if(bare_evidence).alias("concept_alignment_missing_evidence_count"),
         ),
     ]
+    if parsers is not None:
+        selected = F.col("parser") == SELECTED_ROWS_PARSER
+        parts.append(parsers.agg(F.count_if(selected).alias("selected_row_parse_count")))
+    if registry is not None:
+        known = registry.select(F.col("concept").alias("canonical_concept"), "valid")
+        met = alignments.select("canonical_concept").join(known, "canonical_concept", "left")
+        there = F.col("valid").isNotNull()
+        parts.append(
+            met.agg(
+                F.count_if(there).alias("concept_alignment_checked_count"),
+                F.count_if(~there).alias("concept_alignment_unchecked_count"),
+                F.count_if(there & ~F.col("valid")).alias("concept_alignment_invalid_count"),
+            )
+        )
     one = side_by_side(parts)
     c = F.col
     no_row_source = c("source_row_count") == 0
@@ -413,6 +437,13 @@ def acceptance(
         "concept_alignments_have_evidence": c("concept_alignment_missing_evidence_count")
         == 0,
     }
+    if parsers is not None:
+        checks["selected_row_only_parser_not_used"] = c("selected_row_parse_count") == 0
+    if registry is not None:
+        checks["concept_alignments_resolve"] = c("concept_alignment_invalid_count") == 0
+        checks["required_concept_alignments_validated"] = (
+            c("concept_alignment_unchecked_count") == 0 if require_validation else F.lit(True)
+        )
     accepted = None
     for test in checks.values():
         accepted = test if accepted is None else accepted & test

@@ -143,9 +143,7 @@ def vl11_pairs(spark, sf):
     ).drop("claim")
 
 
-@query(
-    "vl10_acceptance_gate",
-    f"""
+SQL_GATE = f"""
     WITH {SQL_FACTS}, {SQL_EVIDENCE},
     dup AS (SELECT 1 AS one FROM facts GROUP BY period_type, period_value, geography_level, geography_id, st, entity_name, seg, y, assertion,
       filing_status, agi_lower_usd, agi_upper_usd, eitc_child_count, income_range, trade_region HAVING count(*) > 1)
@@ -159,9 +157,42 @@ def vl11_pairs(spark, sf):
       (SELECT count(*) FROM (SELECT arg_min(coalesce(concept_evidence_url, ''), seq) AS u FROM facts WHERE concept_relation = 'exact' GROUP BY source_concept, concept, legal_vintage) WHERE u = '') AS concept_alignment_missing_evidence_count,
       (SELECT count(*) FROM dup) = 0 AS stage_reports_valid, true AS raw_artifacts_linked, true AS full_source_document_parsed, true AS facts_have_provenance,
       true AS facts_have_source_cell_lineage, false AS facts_have_source_row_lineage, false AS row_lineage_semantics_evidenced, true AS expected_constraints_present,
-      false AS concept_alignments_have_evidence, false AS accepted FROM facts""",
-)
+      false AS concept_alignments_have_evidence, false AS accepted FROM facts"""
+
+
+@query("vl10_acceptance_gate", SQL_GATE)
 def vl10(spark, sf):
+    return gate(spark, sf)
+
+
+@query(
+    "vl10_full_gate",
+    SQL_GATE.replace(
+        "false AS accepted FROM facts",
+        """false AS accepted,
+      count(DISTINCT seg) FILTER (seg = 'MACHINERY') AS selected_row_parse_count,
+      (SELECT count(*) FROM al WHERE concept IN ('us.trade.building', 'us.trade.automobile', 'us.trade.furniture')) AS concept_alignment_checked_count,
+      (SELECT count(*) FROM al WHERE concept = 'us.trade.household') AS concept_alignment_unchecked_count,
+      (SELECT count(*) FROM al WHERE concept = 'us.trade.furniture') AS concept_alignment_invalid_count,
+      false AS selected_row_only_parser_not_used, false AS concept_alignments_resolve, false AS required_concept_alignments_validated FROM facts""",
+    ).replace(
+        "dup AS (",
+        "al AS (SELECT DISTINCT source_concept, concept, concept_relation, legal_vintage FROM facts WHERE source_concept IS NOT NULL), dup AS (",
+    ),
+)
+def vl10_full(spark, sf):
+    segments = table(spark, sf, "customer").select("c_mktsegment").distinct()
+    parsers = segments.select(
+        F.when(F.col("c_mktsegment") == "MACHINERY", E.SELECTED_ROWS_PARSER).otherwise("delimited_text").alias("parser")
+    )
+    registry = segments.filter("c_mktsegment != 'HOUSEHOLD'").select(
+        F.concat(F.lit("us.trade."), F.lower("c_mktsegment")).alias("concept"),
+        (F.col("c_mktsegment") != "FURNITURE").alias("valid"),
+    )
+    return gate(spark, sf, parsers=parsers, registry=registry, require_validation=True)
+
+
+def gate(spark, sf, **more):
     facts, row_values, cells = evidence_tables(spark, sf)
     source_rows = table(spark, sf, "orders").select(
         F.col("o_orderkey").cast("string").alias("row_key")
@@ -192,4 +223,5 @@ def vl10(spark, sf):
         unresolved.filter("issue = 'unresolved_lineage'"),
         expected,
         constrained,
+        **more,
     )
