@@ -5,10 +5,9 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from factloom.operators.sequence import first_wins, join_on
+from factloom.operators.sequence import first_wins, join_on, number_rows
 
 
 def counts_by(rows: DataFrame, dims: Mapping[str, Column]) -> DataFrame:
@@ -34,10 +33,12 @@ def counts_by(rows: DataFrame, dims: Mapping[str, Column]) -> DataFrame:
 def most_common(counts: DataFrame) -> DataFrame:
     """Rank of each key in its dimension, most frequent first, ties by key.
 
-    The input is one row per (dimension, key): a report, not the data.
+    Keys are sorted into range partitions and numbered by partition, so a
+    dimension with many keys is no one's burden.
     """
-    order = W.partitionBy("dim").orderBy(F.desc("n"), "key")
-    return counts.withColumn("rank", F.row_number().over(order).cast("bigint"))
+    ordered = counts.withColumns({"_less": -F.col("n"), "_row": F.lit(0).cast("bigint")})
+    ranked = number_rows(ordered, ["dim"], "_row", "rank", lead=["_less", "key"])
+    return ranked.drop("_less", "_row")
 
 
 def missing_counts(rows: DataFrame, tests: Mapping[str, Column]) -> DataFrame:

@@ -9,6 +9,7 @@ from factloom.session import new_folder
 from factloom.sources import records as R
 from factloom.sources import delimited as D
 from factloom.sources import pages as G
+from factloom.sources import snapshots as SN
 from factloom.sources import store as T
 from factloom.suite.registry import query, table
 
@@ -378,3 +379,23 @@ def src06_files(spark, sf):
         rows = numbered_part(rows, ["row_number", F.lit(form).alias("form"), "values_json"])
         found = rows if found is None else found.unionByName(rows)
     return found
+
+
+@query(
+    "src11_stored_upsert",
+    """
+    SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' OR o_orderpriority = '1-URGENT' THEN -o_totalprice ELSE o_totalprice END AS price,
+      CASE WHEN o_orderstatus = 'P' THEN 'inserted' WHEN o_orderpriority = '1-URGENT' THEN 'updated' ELSE 'kept' END AS state,
+      3::BIGINT AS version
+    FROM orders""",
+)
+def src11_stored(spark, sf):
+    """Three loads into one stored table: rows, replacements, new rows."""
+    orders = table(spark, sf, "orders")
+    opened, urgent = F.col("o_orderstatus") == "P", F.col("o_orderpriority") == "1-URGENT"
+    row = lambda sign, state: ["o_orderkey", (sign * F.col("o_totalprice")).alias("price"), F.lit(state).alias("state")]
+    stored = SN.Snapshots(spark, new_folder(spark, "upsert"), ["o_orderkey"], 16)
+    stored.load(orders.filter(~opened).select(*row(1, "kept")))
+    stored.load(orders.filter(~opened & urgent).select(*row(-1, "updated")))
+    version = stored.load(orders.filter(opened).select(*row(-1, "inserted")))
+    return stored.read().withColumn("version", F.lit(version).cast("bigint"))
