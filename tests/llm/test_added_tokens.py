@@ -51,3 +51,18 @@ def test_operators_give_added_tokens_their_ids(spark):
     ids = plain(FILES[1][0]).encode(rows[0][1], add_special_tokens=False).ids
     assert ids == [320, 49407, 321]
     assert packed[1] == zlib.crc32(array.array("I", [*ids, 1]).tobytes())
+
+
+@pytest.mark.parametrize("name, cut", FILES)
+def test_plain_and_other_characters_are_cut_as_the_file_cuts_them(name, cut):
+    whole = plain(name)
+    encoders = [Encoder(public_path(name), cut, added=added) for added in (True, False)]
+    rng = random.Random(11)
+    signs = [chr(c) for c in range(0x180)] + list("İK٠中́​  ''\n\n\t  ")
+    signs += ["'S", "'ll", "''s", " '", "<|endoftext|>", "ı'd", "ǅ", "ﬁ", "\U0001f600"]
+    some = ["".join(rng.choices(signs, k=rng.randint(0, 40))) for _ in range(4000)]
+    some += [chr(c) * n + tail for c in range(0x180) for n in (1, 2) for tail in ("", "a", " b", "1")]
+    for encoder, ordinary in zip(encoders, (False, True)):
+        whole.encode_special_tokens = ordinary
+        for text, ids in zip(some, encoder.ids(some)):
+            assert list(array.array("I", ids)) == whole.encode(text, add_special_tokens=False).ids, (text, ordinary)
