@@ -19,10 +19,12 @@ _own_folder: list[str] = []
 def shared_folder(spark: SparkSession) -> str:
     """The folder that ``spark.checkpoint.dir`` names.
 
-    Only where that is unset (tests on one machine) a temporary folder is made.
+    Only where that is unset in a local session (tests) a temporary folder is made.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a shared folder")
         if not _own_folder:
             _own_folder.append(tempfile.mkdtemp(prefix="spark-"))
         folder = _own_folder[0]

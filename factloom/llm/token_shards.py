@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .common import block_of, new_path, null_safe_join, partitions, sort_key
+from .common import block_of, if_few, new_path, null_safe_join, partitions, sort_key, stored
 from .tokens import Encoder, public_path
 
 SHARD = T.StructType(
@@ -234,7 +234,11 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
         ),
         parts,
         ["part"],
-    ).select("part", "shard", (F.col("part_start") + F.col("inside")).alias("base"))
+    ).select(
+        F.col("part").alias("_part"),
+        F.col("shard").alias("_shard"),
+        (F.col("part_start") + F.col("inside")).alias("base"),
+    )
 
     def fetch(batches):
         for batch in batches:
@@ -265,7 +269,9 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     rows = shards.select("part", "shard", "keys", "index", "payload").mapInPandas(
         fetch, "part int, shard int, key long, offset long, ids binary"
     )
-    return null_safe_join(rows, starts, ["part", "shard"]).select(
+    # One number per shard goes to the ids, which stay where they are.
+    same = (F.col("part") == F.col("_part")) & (F.col("shard") == F.col("_shard"))
+    return rows.join(if_few(stored(starts, "shard-starts")), same).select(
         F.when(F.col("key") != _NULL, F.col("key")).alias("doc_id"),
         (F.col("base") + F.col("offset")).alias("start"),
         "ids",
