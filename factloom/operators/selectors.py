@@ -147,6 +147,42 @@ def check_guards(guards: DataFrame, cells: DataFrame, keys: Sequence[str]) -> Da
     return joined.withColumn("issue", issue).drop("_hit")
 
 
+def check_range_labels(labels: DataFrame, cells: DataFrame) -> DataFrame:
+    """Label columns beside row ranges: one row per label cell, with its outcome.
+
+    ``labels`` holds ``record_id``, ``guard``, ``column``, ``row_from``, ``row_to``
+    and ``expected``, an array of ``struct<type, text, num>`` with one label per row
+    of the range.  A range without an end, with more or fewer labels than rows or
+    with a null label is one issue row without ``row``; its cells are not read.
+    """
+    rows = F.col("row_to") - F.col("row_from") + 1
+    fault = (
+        F.when(F.col("row_to").isNull(), "no_end_address")
+        .when(F.coalesce(F.size("expected"), F.lit(0)) != rows, "label_count")
+        .when(F.exists("expected", lambda label: label["type"].isNull()), "null_label")
+    )
+    marked = labels.withColumn("issue", fault)
+    guards = marked.filter(F.col("issue").isNull()).select(
+        "record_id", "guard", "column", "row_from", F.posexplode("expected").alias("_at", "_label")
+    )
+    guards = guards.select(
+        "record_id",
+        "guard",
+        (F.col("row_from") + F.col("_at")).alias("row"),
+        "column",
+        F.col("_label.type").alias("expected_type"),
+        F.col("_label.text").alias("expected_text"),
+        F.col("_label.num").alias("expected_num"),
+    )
+    names = ["record_id", "guard", "row", "column", "issue"]
+    faults = marked.filter(F.col("issue").isNotNull()).withColumn(
+        "row", F.lit(None).cast("bigint")
+    )
+    return check_guards(guards, cells, ["row", "column"]).select(names).unionByName(
+        faults.select(names)
+    )
+
+
 def guard_report(checked: DataFrame) -> DataFrame:
     """Per record: number of guards, and whether all of them hold."""
     return checked.groupBy("record_id").agg(

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Mapping, Sequence
+from urllib.parse import quote, unquote, urlsplit
 
+import pandas as pd
+import pyarrow.fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -607,7 +611,8 @@ def file_inventory(manifest: DataFrame, files: DataFrame) -> DataFrame:
     """Manifest entries against stored files.
 
     ``manifest`` holds ``entry, filename, sha256, linked``; ``files`` holds
-    ``filename, actual_sha256, size_bytes`` (``stored_files`` makes them).
+    ``filename, actual_sha256, size_bytes`` (``stored_files`` makes them).  A
+    filename is a path from the same folder, so equal base names do not meet.
     """
     named = F.coalesce("filename", F.lit("")) != ""
     return manifest.join(files, "filename", "left").select(
@@ -624,18 +629,45 @@ def file_inventory(manifest: DataFrame, files: DataFrame) -> DataFrame:
     )
 
 
-def stored_files(spark, path: str) -> DataFrame:
-    """Checksums of stored files; each file is hashed in the task that reads it."""
-    return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(path)
-        .select(
-            F.substring_index("path", "/", -1).alias("filename"),
-            F.sha2("content", 256).alias("actual_sha256"),
-            F.col("length").alias("size_bytes"),
-        )
+def stored_files(spark, path: str, chunk: int = 8 * 2**20) -> DataFrame:
+    """Checksums of the files below the folder ``path``, named by their path from there.
+
+    Spark lists the files, empty ones too; the task that gets a file hashes it as a
+    stream, so a file of any size takes ``chunk`` bytes of memory.  Any file system
+    that both Spark and Arrow reach will do.
+    """
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    above = folder.toUri().getPath().rstrip("/") + "/"
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    places = [(place,) for place in reader.load(path).inputFiles()]
+
+    def digests(batches):
+        for batch in batches:
+            rows = [_stream_digest(place, chunk) for place in batch["place"]]
+            names = [unquote(urlsplit(place).path) for place in batch["place"]]
+            yield pd.DataFrame(
+                {
+                    "filename": [name[len(above) :] for name in names],
+                    "actual_sha256": [digest for digest, _ in rows],
+                    "size_bytes": [size for _, size in rows],
+                }
+            )
+
+    # A task holds few files, as they may be large.
+    listed = spark.createDataFrame(places, "place string").repartition(
+        min(max(len(places), 1), 4096)
     )
+    return listed.mapInPandas(digests, "filename string, actual_sha256 string, size_bytes long")
+
+
+def _stream_digest(place: str, chunk: int) -> tuple[str, int]:
+    system, name = pyarrow.fs.FileSystem.from_uri(quote(place, safe=":/@%"))
+    digest, size = hashlib.sha256(), 0
+    with system.open_input_stream(name) as stream:
+        while part := stream.read(chunk):
+            digest.update(part)
+            size += len(part)
+    return digest.hexdigest(), size
 
 
 def validate_profiles(targets: DataFrame) -> DataFrame:

@@ -201,6 +201,49 @@ def jn05_report(spark, sf):
     )
 
 
+@query(
+    "jn05_range_labels",
+    """
+    WITH p AS (SELECT p_partkey // 4 AS record_id, p_partkey, (p_partkey // 4) % 5 AS kind, count(*) OVER (PARTITION BY p_partkey // 4) AS k FROM part),
+    f AS (SELECT *, CASE WHEN kind = 3 THEN 'no_end_address' WHEN kind = 1 OR k <> 4 THEN 'label_count' WHEN kind = 2 THEN 'null_label' END AS fault FROM p)
+    SELECT record_id, p_partkey AS "row", CASE WHEN kind = 4 AND p_partkey % 4 = 0 THEN 'guard_mismatch' END AS issue FROM f WHERE fault IS NULL
+    UNION ALL SELECT DISTINCT record_id, NULL, fault FROM f WHERE fault IS NOT NULL""",
+)
+def jn05_labels(spark, sf):
+    """Four parts are a range whose names are its labels; four kinds are spoilt."""
+    first = F.expr("p_partkey div 4")
+    kind, low = F.col("record_id") % 5, F.col("p_partkey") == F.col("record_id") * 4
+    name = (
+        F.when((kind == 2) & low, F.lit(None))
+        .when((kind == 4) & low, "other")
+        .otherwise(F.col("p_name"))
+    )
+    label = F.struct(
+        F.when(name.isNotNull(), "string").alias("type"),
+        name.alias("text"),
+        F.lit(None).cast("double").alias("num"),
+    )
+    # At most four labels per range, in the order of their rows.
+    held = F.transform(F.array_sort(F.collect_list(F.struct("p_partkey", "label"))), lambda r: r["label"])
+    ranges = (
+        table(spark, sf, "part")
+        .withColumn("record_id", first)
+        .withColumn("label", label)
+        .groupBy("record_id")
+        .agg(held.alias("_held"))
+    )
+    labels = ranges.select(
+        "record_id",
+        F.lit("names").alias("guard"),
+        F.lit(1).cast("bigint").alias("column"),
+        (F.col("record_id") * 4).alias("row_from"),
+        F.when(kind != 3, F.col("record_id") * 4 + 3).alias("row_to"),
+        F.when(kind == 1, F.slice("_held", 1, 3)).otherwise(F.col("_held")).alias("expected"),
+    )
+    cells = part_cells(spark, sf).drop("sheet")
+    return L.check_range_labels(labels, cells).select("record_id", "row", "issue")
+
+
 @query(
     "jn06_lineage_keys",
     """

@@ -156,6 +156,40 @@ def test_guard_types(spark, expected, issue):
     assert L.check_guards(guards, sheet, ["address"]).first()["issue"] == issue
 
 
+def test_range_labels_need_one_label_per_row(spark):
+    text = lambda v: (None if v is None else "string", v, None)
+    rows = [
+        (1, 2, 4, ["a", "b", "c"]),
+        (2, 2, 4, ["a", "x", "c"]),
+        (3, 2, 4, ["a", "b"]),
+        (4, 2, 3, ["a", None]),
+        (5, 2, None, ["a"]),
+        (6, 4, 5, ["c", "d"]),
+        (7, 2, 2, None),
+    ]
+    labels = spark.createDataFrame(
+        [(i, "g", 1, a, b, e and [text(v) for v in e]) for i, a, b, e in rows],
+        "record_id int, guard string, column long, row_from long, row_to long, "
+        "expected array<struct<type: string, text: string, num: double>>",
+    )
+    cells_ = spark.createDataFrame(
+        [(r, 1, "string", t, None) for r, t in ((2, "a"), (3, "b"), (4, "c"))],
+        "row long, column long, value_type string, value_text string, value_num double",
+    )
+    found = {}
+    for r in L.check_range_labels(labels, cells_).collect():
+        found.setdefault(r["record_id"], {})[r["row"]] = r["issue"]
+    assert found == {
+        1: {2: None, 3: None, 4: None},
+        2: {2: None, 3: "guard_mismatch", 4: None},
+        3: {None: "label_count"},
+        4: {None: "null_label"},
+        5: {None: "no_end_address"},
+        6: {4: None, 5: "missing_guard_cell"},
+        7: {None: "label_count"},
+    }
+
+
 def test_regions_across_blocks_give_each_pair_once(spark):
     cells_ = spark.createDataFrame([(r, 1) for r in range(1, 200)], "r long, c long")
     regions = spark.createDataFrame(

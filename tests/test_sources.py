@@ -1,3 +1,4 @@
+import hashlib
 import re
 
 from pyspark.sql import functions as F
@@ -162,6 +163,30 @@ def test_stored_files(spark, tmp_path):
     assert found == {1: None, 2: "missing_file", 3: "missing_filename"}
 
 
+def test_files_are_known_by_their_path_and_hashed_as_streams(spark, tmp_path):
+    bodies = {"one/a b.bin": b"abc", "two/a b.bin": b"xyz", "two/\u00e9%20.bin": b"", "big.bin": None}
+    for name, body in bodies.items():
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_bytes(body or b"")
+    size = 2**31 + 5
+    with open(tmp_path / "big.bin", "wb") as big:
+        big.truncate(size)
+    digest = hashlib.sha256()
+    for _ in range(2**31 // 2**24):
+        digest.update(bytes(2**24))
+    digest.update(bytes(5))
+    expected = {n: hashlib.sha256(b).hexdigest() for n, b in bodies.items() if b is not None}
+    expected["big.bin"] = digest.hexdigest()
+    files = PRU.stored_files(spark, str(tmp_path))
+    found = {r["filename"]: (r["actual_sha256"], r["size_bytes"]) for r in files.collect()}
+    sizes = {n: size if b is None else len(b) for n, b in bodies.items()}
+    assert found == {n: (expected[n], sizes[n]) for n in bodies}
+    rows = [(i, name, expected["one/a b.bin"], None) for i, name in enumerate(sorted(bodies)[1:3])]
+    manifest = spark.createDataFrame(rows, "entry int, filename string, sha256 string, linked boolean")
+    issues = {r["entry"]: r["issue"] for r in PRU.file_inventory(manifest, files).collect()}
+    assert issues == {0: None, 1: "checksum_mismatch"}
+
+
 def test_each_file_has_its_own_header_and_blank_records_stay(spark, tmp_path):
     (tmp_path / "a.csv").write_text("x,y\n1,2\n\n3,4\n")
     (tmp_path / "b.csv").write_text("y,x\n2,1\n")
