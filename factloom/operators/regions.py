@@ -16,6 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from factloom.operators.dominance import sweep
 from factloom.operators.sequence import join_on
 
 TILE, BASE, LEVELS = 64, 16, 5
@@ -199,8 +200,7 @@ def region_suite(
         & (F.col("right_column") >= F.col("left_column"))
     )
     sound = F.coalesce(sound, F.lit(False))
-    index = TileIndex(cells, sheet, row, column)
-    found = index.region_counts(regions.filter(sound), key)
+    found, total = sweep(regions.filter(sound), cells, row, column, sheet, key)
     counts = regions.join(found, key, "left").withColumn(
         "covered_cells", F.coalesce("covered_cells", F.lit(0).cast("bigint"))
     )
@@ -219,5 +219,4 @@ def region_suite(
         "region_id",
         F.lit("duplicate_region_id").alias("code"),
     )
-    total = index.covered_total(regions.filter(sound), key)
     return counts.select(key, "region_id", "covered_cells"), own.unionByName(repeated), total

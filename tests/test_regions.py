@@ -94,3 +94,38 @@ def test_blocks_are_folded_by_partition(spark):
         assert all(r["before"] == 2 * r["at"] for r in found.collect())
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", old)
+
+
+def test_corner_sums_are_carried_over_parts_and_batches(spark):
+    """Many rectangles: four corners each, whatever their outline, over many small parts."""
+    rng = random.Random(4)
+    sheets = ["s", "s", "s", None, "t"]
+    cells = [(rng.choice(sheets), rng.randint(1, 300), rng.choice([5, rng.randint(1, 90)])) for _ in range(3000)]
+    boxes = []
+    for i in range(300):
+        top, left = rng.randint(1, 300), rng.randint(1, 90)
+        boxes.append((i, f"r{i}", rng.choice(sheets), top, top + rng.randint(0, 200), left, left + rng.randint(0, 60)))
+    frame = spark.createDataFrame(
+        boxes,
+        "region_no int, region_id string, sheet string, top_row long, bottom_row long, left_column long, right_column long",
+    )
+    settings = {
+        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.shuffle.partitions": "23",
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "17",
+    }
+    old = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        held = spark.createDataFrame(cells, "sheet string, y int, x int")
+        counts, _, total = G.region_suite(frame, held, F.col("y"), F.col("x"), ["sheet"])
+        assert "sequence(" not in counts._jdf.queryExecution().optimizedPlan().toString()
+        found, covered = {r["region_no"]: r["covered_cells"] for r in counts.collect()}, total.first()["covered_cells"]
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    inside = {
+        i: {c for c in set(cells) if c[0] == s and t <= c[1] <= b and l <= c[2] <= r} for i, _, s, t, b, l, r in boxes
+    }
+    assert found == {i: len(c) for i, c in inside.items()} and covered == len(set().union(*inside.values()))
