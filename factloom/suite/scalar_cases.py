@@ -217,11 +217,10 @@ def fn07(spark, sf):
 @query(
     "fn09_column_letters",
     r"""
-    WITH k AS (SELECT DISTINCT o_custkey + 1 AS n FROM orders),
-    a AS (SELECT n, CASE WHEN n <= 26 THEN chr(CAST(64 + n AS INTEGER))
-      WHEN n <= 702 THEN chr(CAST(64 + (n - 1) // 26 AS INTEGER)) || chr(CAST(65 + (n - 1) % 26 AS INTEGER))
-      ELSE chr(CAST(65 + (n - 703) // 676 AS INTEGER)) || chr(CAST(65 + ((n - 703) // 26) % 26 AS INTEGER))
-        || chr(CAST(65 + (n - 703) % 26 AS INTEGER)) END AS letters FROM k)
+    WITH RECURSIVE k AS (SELECT DISTINCT o_custkey + 1 AS n FROM orders),
+    steps AS (SELECT n, n AS rest, '' AS letters FROM k
+      UNION ALL SELECT n, (rest - 1) // 26, chr(CAST(65 + (rest - 1) % 26 AS INTEGER)) || letters FROM steps WHERE rest > 0),
+    a AS (SELECT n, letters FROM steps WHERE rest = 0)
     SELECT n, letters, n AS back, lower(letters) || CAST(n AS VARCHAR) AS address,
       letters AS address_column, n AS address_row FROM a""",
 )

@@ -187,3 +187,17 @@ def test_letters_and_numbers_past_their_old_limits(spark):
     cells = spark.createDataFrame([(1, 4e-7), (2, 4e-7)], "row int, value_num double")
     total = L.sum_row_ranges(ranges, cells, []).first()["value"]
     assert abs(total - 8e-7) < 1e-15
+
+
+def test_column_letters_sql_has_no_largest_number(spark, tmp_path):
+    duckdb = pytest.importorskip("duckdb")
+    from factloom.suite import ORACLES, QUERIES
+
+    keys = [0, 25, 26, 701, 702, 18277, 18278, 89_999, 475_253, 475_254, 10**12]
+    spark.createDataFrame([(k,) for k in keys], "o_custkey long").write.parquet(f"{tmp_path}/orders.parquet")
+    with duckdb.connect() as duck:
+        duck.execute(f"CREATE VIEW orders AS SELECT * FROM '{tmp_path}/orders.parquet/*.parquet'")
+        expected = duck.sql(ORACLES["fn09_column_letters"]).fetchall()
+    mine = [tuple(r) for r in QUERIES["fn09_column_letters"](spark, str(tmp_path)).collect()]
+    assert sorted(mine) == sorted(expected) and len(mine) == len(keys)
+    assert {r[0]: r[1] for r in mine}[18279] == "AAAA"
