@@ -7,7 +7,7 @@ error, so that callers can report it as an issue row.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -52,6 +52,15 @@ def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(WHITE_SPACE))
 
 
+def bound(value: Column, make: Callable[[Column], Column]) -> Column:
+    """``make`` of a ``value`` that is worked out once, however often it is used.
+
+    The optimizer puts a column's expression in place of each use inside a lambda
+    function; a lambda's own variable stays one value.
+    """
+    return F.get(F.transform(F.array(value), make), F.lit(0))
+
+
 def finite_number(text: Column) -> Column:
     """Decimal literal to double; anything else, NaN and infinity give null."""
     return F.when(text.rlike(NUMBER_PATTERN), text.try_cast("double"))

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from factloom.functions.scalars import bare_number, strip, tagged_scalar
+from factloom.functions.scalars import bare_number, bound, strip, tagged_scalar
 from factloom.operators.sequence import join_on
 from factloom.session import store
 
@@ -230,8 +230,8 @@ def delimited_rows(
         "file", F.col("record").alias("row_number"), "_slots", typed.alias("_typed")
     )
 
-    def value(slot: Column) -> Column:
-        found = F.get("_typed", slot["pos"] - 1)
+    def value(slot: Column, typed: Column) -> Column:
+        found = F.get(typed, slot["pos"] - 1)
         scalar = tagged_scalar(found["text"], found["num"])
         return F.struct(
             slot["pos"].alias("pos"),
@@ -239,7 +239,8 @@ def delimited_rows(
             *[scalar[c].alias(c) for c in ("kind", "text", "num")],
         )
 
-    return rows.select("file", "row_number", F.transform("_slots", value).alias("values")), issues
+    values = bound(F.col("_typed"), lambda t: F.transform("_slots", lambda s: value(s, t)))
+    return rows.select("file", "row_number", values.alias("values")), issues
 
 
 # --- JSON ------------------------------------------------------------------------
@@ -293,6 +294,7 @@ def json_items(
     numbered = join_on(counted, starts, BLOCK, "inner").withColumn(
         "item", F.col("_before") + F.col("_cuts") + 1
     )
+    numbered = store(numbered.select(*BLOCK, "place", "piece", "after", "depth", "item"), "numbered")
     first = F.min_by(F.ltrim(F.regexp_replace("piece", r"\A\s+", "")), F.struct("start", "place"))
     ends = numbered.groupBy("file").agg(
         F.substring(first, 1, 1).alias("_first"),
@@ -315,24 +317,37 @@ def json_items(
         "file", F.lit(None).cast("bigint").alias("item"), F.lit("json_left_open").alias("code")
     )
     issues = long.select("file", "item", F.lit("item_too_long").alias("code")).unionByName(broken)
-    return items.drop("_last"), issues
+    # Names, rows and issues are read from the items, which are put together once.
+    return store(items.drop("_last"), "items"), issues
 
 
 def _value(item: Column) -> Column:
     """``struct<kind, text, num>`` of a variant; text is typed like delimited text."""
-    kind = F.schema_of_variant(item)
-    text = F.try_variant_get(item, "$", "string")
-    is_text = kind == "STRING"
-    trimmed = F.when(is_text, strip(text)).otherwise(text)
-    number = kind.rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL)")
-    num = F.when(number, text.try_cast("double")).when(is_text, bare_number(trimmed))
-    name = (
-        F.when(trimmed.isNull() | (trimmed == ""), "empty")
-        .when(kind == "BOOLEAN", "flag")
-        .when(num.isNotNull(), "number")
-        .otherwise("text")
+
+    def typed(read: Column) -> Column:
+        is_text = read["kind"] == "STRING"
+        number = read["kind"].rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL)")
+        text = F.when(is_text, strip(read["text"])).otherwise(read["text"])
+        num = lambda t: F.when(number, t.try_cast("double")).when(is_text, bare_number(t))
+        return bound(
+            bound(text, lambda t: F.struct(t.alias("text"), num(t).alias("num"), read["kind"].alias("kind"))),
+            named,
+        )
+
+    def named(v: Column) -> Column:
+        name = (
+            F.when(v["text"].isNull() | (v["text"] == ""), "empty")
+            .when(v["kind"] == "BOOLEAN", "flag")
+            .when(v["num"].isNotNull(), "number")
+            .otherwise("text")
+        )
+        text = F.when(v["text"] != "", v["text"])
+        return F.struct(name.alias("kind"), text.alias("text"), v["num"].alias("num"))
+
+    read = lambda v: F.struct(
+        F.schema_of_variant(v).alias("kind"), F.try_variant_get(v, "$", "string").alias("text")
     )
-    return F.struct(name.alias("kind"), F.when(trimmed != "", trimmed).alias("text"), num.alias("num"))
+    return bound(bound(item, read), typed)
 
 
 def table_values(
@@ -388,8 +403,8 @@ def table_values(
         "_slots",
     )
 
-    def value(slot: Column) -> Column:
-        found = F.coalesce(F.get("_l", slot["pos"] - 1), F.try_element_at("_m", slot["key"]))
+    def value(slot: Column, row: Column) -> Column:
+        found = F.coalesce(F.get(row["l"], slot["pos"] - 1), F.try_element_at(row["m"], slot["key"]))
         return F.struct(slot["pos"].alias("position"), slot["name"].alias("name"), _value(found).alias("_s"))
 
     plain = lambda v: F.struct(
@@ -397,7 +412,8 @@ def table_values(
         v["name"].alias("name"),
         *[v["_s"][c].alias(c) for c in ("kind", "text", "num")],
     )
-    values = F.transform(F.transform("_slots", value), plain)
+    row = F.struct(F.col("_l").alias("l"), F.col("_m").alias("m"))
+    values = bound(row, lambda r: F.transform(F.transform("_slots", lambda s: value(s, r)), plain))
     return body.select(*keep, "row_number", values.alias("values")), issues
 
 

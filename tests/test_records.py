@@ -6,6 +6,7 @@ import json
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from factloom.sources import delimited as D
 from factloom.sources import records as R
@@ -156,3 +157,17 @@ def test_landed_objects(spark, tmp_path):
     assert found == {1: {"a": "1", "b": None}, 2: {"a": None, "b": "x"}}
     rows, _ = R.landed_json(spark, write(tmp_path / "v.json", " 12 "))
     assert [r["values_json"] for r in rows.collect()] == ['{"value":"12"}']
+
+
+def test_values_are_worked_out_once_per_row(spark, tmp_path):
+    """The fields of a row are parsed once, not once per use of each value."""
+    (tmp_path / "a.csv").write_text("id,note,price\n1,x,$2\n3,_4,\n")
+    rows, _ = R.delimited_rows(spark, str(tmp_path))
+    plan = rows.select("file", F.inline("values"))._jdf.queryExecution().optimizedPlan().toString()
+    # Four uses for the headers and one for the rows (15 where each value parses again).
+    assert plan.count("regexp_extract_all") <= 5
+    found = {r["row_number"]: [(v["kind"], v["text"], v["num"]) for v in r["values"]] for r in rows.collect()}
+    assert found == {
+        2: [("number", "1", 1.0), ("text", "x", None), ("number", "$2", 2.0)],
+        3: [("number", "3", 3.0), ("text", "_4", None), ("empty", None, None)],
+    }
