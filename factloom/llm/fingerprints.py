@@ -24,14 +24,17 @@ from pyspark.sql.window import Window
 from .common import block_of, partitions, sort_key, split_points
 
 SAMPLES = 64
+#: Samples of one row and one aggregation.  All 64 in one made generated methods of
+#: so many nodes that the JVM's compiler alone could take gigabytes beside the heap.
+PER_ROW = 16
 
 
-def sample_expr(term: str, log_weight: str, k: int) -> str:
+def sample_expr(term: str, log_weight: str, k: int | str) -> str:
     """SQL text of ln a for the hash ``term``, null where the weight is null.
 
-    Two 64-bit hashes give five uniform numbers, none of them 0 or 1.
+    ``k`` is a number or the SQL text of an int.  Two 64-bit hashes give five uniform numbers, none of them 0 or 1.
     """
-    one, two = f"xxhash64({term}, {2 * k})", f"xxhash64({term}, {2 * k + 1})"
+    one, two = f"xxhash64({term}, 2 * ({k}))", f"xxhash64({term}, 2 * ({k}) + 1)"
 
     def uniform(hash_: str, shift: int, bits: int) -> str:
         moved = f"shiftrightunsigned({hash_}, {shift})" if shift else hash_
@@ -63,23 +66,31 @@ def samples(weighted: DataFrame, key: list[str]) -> DataFrame:
         .when(w1.isNull(), F.array(entry(2, w2)))
         .otherwise(F.array(entry(1, w1), entry(2, w2)))
     )
+    some = range(PER_ROW)
     least = [
-        F.expr(f"min({sample_expr('term', 'log', k)})").alias(f"_{k}")
-        for k in range(SAMPLES)
+        F.expr(f"min({sample_expr('term', 'log', f'{PER_ROW} * part + {i}')})").alias(f"_{i}")
+        for i in some
     ]
-    parts = (
+    parts = F.explode(F.array(*[F.lit(p) for p in range(SAMPLES // PER_ROW)]))
+    sides = (
         weighted.select(*key, "term", F.inline(entries))
-        .groupBy(*key, "side")
+        .withColumn("part", parts)
+        .groupBy(*key, "side", "part")
         .agg(*least)
     )
     both = [
-        F.min(F.when(F.col("side") != 3 - text, F.col(f"_{k}"))).alias(f"_{text}_{k}")
+        F.min(F.when(F.col("side") != 3 - text, F.col(f"_{i}"))).alias(f"_{text}_{i}")
         for text in (1, 2)
-        for k in range(SAMPLES)
+        for i in some
     ]
-    array = lambda text: F.array(*[F.col(f"_{text}_{k}") for k in range(SAMPLES)])
-    return parts.groupBy(*key).agg(*both).select(
-        *key, array(1).alias("one"), array(2).alias("two")
+    array = lambda text: F.array(*[F.col(f"_{text}_{i}") for i in some])
+    pieces = F.struct("part", array(1).alias("one"), array(2).alias("two"))
+    return (
+        sides.groupBy(*key, "part")
+        .agg(*both)
+        .groupBy(*key)
+        .agg(F.sort_array(F.collect_list(pieces)).alias("pieces"))
+        .select(*key, *[F.flatten(f"pieces.{n}").alias(n) for n in ("one", "two")])
     )
 
 

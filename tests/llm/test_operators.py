@@ -13,6 +13,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import FOLDER
 from factloom.llm import common, exact_search, fingerprints, mixing, near_duplicates
@@ -549,3 +550,20 @@ def test_allot_rules():
     for rule, expected in (("most", [1, 2]), ("start", [2, 1]), ("split", [4 / 3, 5 / 3])):
         counts, touched = token_counts.allot(starts, ends, bounds, rule)
         assert counts.tolist() == pytest.approx(expected) and touched.tolist() == [1, 1]
+
+
+def test_samples_are_drawn_in_small_aggregations(spark):
+    """64 minima in one generated method cost the JVM's compiler gigabytes."""
+    rows = spark.createDataFrame([(1, 5, 1.0, 2.0), (1, 6, 2.0, None)], "id long, term long, one double, two double")
+    spark.conf.set("spark.sql.debug.maxToStringFields", "1000")
+    try:
+        found = fingerprints.samples(rows, ["id"])
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.debug.maxToStringFields")
+    assert max(line.count(" min(") for line in plan.splitlines() if "Aggregate" in line) <= 2 * fingerprints.PER_ROW
+    got = found.first()
+    assert len(got["one"]) == len(got["two"]) == fingerprints.SAMPLES
+    for k in (0, 17, 63):
+        one = F.expr(f"min({fingerprints.sample_expr('term', 'ln(one)', k)})")
+        assert rows.agg(one).first()[0] == got["one"][k]
