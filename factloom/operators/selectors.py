@@ -11,6 +11,10 @@ from factloom.operators.sequence import join_on, number_rows
 
 BLOCK = 1024
 
+#: Tables of cells are made of narrow, well packed columns: the optimizer, which goes by
+#: the size of the files, would broadcast a side of a hundred times that in memory.
+MERGED = "merge"
+
 
 def selector_text(value: Column) -> Column:
     """Selector comparison form: original text, null as the empty text."""
@@ -77,7 +81,7 @@ def lookup_cells(
     specs: DataFrame, cells: DataFrame, keys: Sequence[str], expected_kind: str
 ) -> DataFrame:
     """Cell at each address, with an issue when missing or of another kind."""
-    found = cells.withColumn("_hit", F.lit(True))
+    found = cells.withColumn("_hit", F.lit(True)).hint(MERGED)
     joined = join_on(specs, found, keys)
     kind = F.col("kind")
     issue = F.when(F.col("_hit").isNull(), "selector_did_not_match").when(
@@ -132,7 +136,7 @@ def check_guards(guards: DataFrame, cells: DataFrame, keys: Sequence[str]) -> Da
     equals a number.
     """
     asked = guards.filter(F.col("expected_type").isNotNull())
-    joined = join_on(asked, cells.withColumn("_hit", F.lit(True)), keys)
+    joined = join_on(asked, cells.withColumn("_hit", F.lit(True)).hint(MERGED), keys)
     numeric = ["integer", "number", "decimal"]
     same = F.when(
         F.col("expected_type").isin(numeric),

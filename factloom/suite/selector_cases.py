@@ -154,7 +154,7 @@ def order_guards(spark, sf):
     orders = (
         table(spark, sf, "orders")
         .withColumn("_row", F.col("o_custkey") * 2)
-        .join(parts, "_row", "left")
+        .join(parts.hint(L.MERGED), "_row", "left")
     )
     digit = F.substring("o_orderpriority", 1, 1)
     skipped = F.col("o_orderpriority") == "5-LOW"
