@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from factloom.operators.sequence import join_on, number_rows
 
 BLOCK = 1024
+#: Rectangles of a block that meet its cells in one part.
+ROOM = 4096
 
 #: Tables of cells are made of narrow, well packed columns: the optimizer, which goes by
 #: the size of the files, would broadcast a side of a hundred times that in memory.
@@ -219,7 +221,9 @@ def covering_regions(
 
     A rectangle is exploded to the row blocks it touches and joined on the
     block, so the plan is an equi-join for any number of rectangles; each cell
-    has one block, hence no pair appears twice.
+    has one block, hence no pair appears twice.  The rectangles of a block are dealt
+    into parts of about ``ROOM``, and the cells of the block meet every part, so many
+    rectangles in one place are many tasks' work.
     """
     tall = regions.filter("bottom_row >= top_row").withColumn(
         "_block",
@@ -232,13 +236,21 @@ def covering_regions(
     placed = cells.withColumns(
         {"_row": row, "_column": column, "_block": F.floor(row / block)}
     )
+    keys = [*sheet, "_block"]
+    # One row per block that has rectangles.
+    parts = tall.groupBy(*keys).agg((F.count(F.lit(1)) / ROOM).cast("long").alias("_parts"))
+    dealt = F.pmod(F.xxhash64(*tall.columns), F.col("_parts") + 1).alias("_part")
+    tall = tall.join(parts, keys).select(*tall.columns, dealt)
+    placed = placed.join(parts, keys).withColumn(
+        "_part", F.explode(F.sequence(F.lit(0).cast("long"), "_parts"))
+    )
     return (
-        placed.join(tall, [*sheet, "_block"])
+        placed.join(tall.hint(MERGED), [*keys, "_part"])
         .filter(
             F.col("_row").between(F.col("top_row"), F.col("bottom_row"))
             & F.col("_column").between(F.col("left_column"), F.col("right_column"))
         )
-        .drop("_row", "_column", "_block")
+        .drop("_row", "_column", "_block", "_part", "_parts")
     )
 
 

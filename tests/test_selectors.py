@@ -1,5 +1,10 @@
 """Lookups of cells keep their tables out of broadcasts."""
 
+import random
+from collections import Counter
+
+from pyspark.sql import functions as F
+
 from factloom.operators import selectors as L
 
 
@@ -29,3 +34,21 @@ def test_cell_tables_are_not_broadcast(spark):
     assert sorted((r["record_id"], r["guard"], r["issue"]) for r in checked.collect()) == [
         ("r", "g", None), ("r", "h", "guard_mismatch"), ("s", "g", "missing_guard_cell")
     ]
+
+
+def test_crowded_blocks_are_dealt_into_parts(spark):
+    rng = random.Random(3)
+    cells = [(rng.randint(1, 40), rng.randint(1, 12)) for _ in range(90)] + [(None, 3)]
+    boxes = [(i, top := rng.randint(1, 40), top + rng.randint(-1, 9), left := rng.randint(1, 9), left + 2) for i in range(120)]
+    frame = spark.createDataFrame(boxes, "no long, top_row long, bottom_row long, left_column long, right_column long")
+    old, L.ROOM = L.ROOM, 8
+    try:
+        pairs = L.covering_regions(spark.createDataFrame(cells, "r long, c long"), frame, F.col("r"), F.col("c"), block=16)
+        assert "merge" in pairs._jdf.queryExecution().logical().toString()
+        found = Counter(tuple(r) for r in pairs.select("no", "r", "c").collect())
+    finally:
+        L.ROOM = old
+    assert pairs.columns == ["r", "c", *frame.columns]
+    assert found == Counter(
+        (i, r, c) for i, t, b, a, z in boxes for r, c in cells if r is not None and t <= r <= b and a <= c <= z
+    )
