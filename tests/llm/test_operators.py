@@ -517,6 +517,80 @@ def test_quality_odd(spark, odd):
     assert all(r["keep"] for r in quality.judged(odd, labels.limit(0)).collect())
     assert quality.judged(odd.limit(0), labels).collect() == []
 
+def brute_characters(texts):
+    """The same model over code points, gram by gram, without Spark."""
+    def listed(text):
+        words, out, before = re.split(r"(\s+)", text), [], None
+        for i, part in enumerate(words):
+            if i % 2 == 0 and part and part == before:
+                out[-1:] = [quality.AGAIN]
+            else:
+                out += map(ord, part)
+            before = part if i % 2 == 0 and part else before
+        return [quality.EDGE] * 3 + out + [quality.EDGE]
+
+    def grams(text):
+        found = listed(text)
+        return [tuple(found[i - 3 : i + 1]) for i in range(3, len(found))]
+
+    tables = {4: Counter(g for t in texts for g in grams(t))}
+    for k in (3, 2, 1):
+        tables[k] = Counter(g[1:] for g in tables[k + 1])
+    cuts = {k: quality._discounts(Counter(t.values())) for k, t in tables.items()}
+
+    def chance(gram):
+        k = len(gram)
+        if not k:
+            return 1 / quality.EDGE
+        seen = [n for g, n in tables[k].items() if g[:-1] == gram[:-1]]
+        if not seen:
+            return chance(gram[1:])
+        cut = lambda n: cuts[k][min(n, 3) - 1] if n else 0
+        n = tables[k].get(gram, 0)
+        return (n - cut(n) + sum(map(cut, seen)) * chance(gram[1:])) / sum(seen)
+
+    return lambda text: (len(grams(text)), -sum(np.log(chance(g)) for g in grams(text)))
+
+
+def test_perplexity_by_joins_is_that_of_a_model_by_hand(spark):
+    texts = ["the then. The the the end", "привет как дела", "", "abab ab\nAb ab ", "ab 漢字 12 over there 12"]
+    rows = [(i, t, "en", i % 2) for i, t in enumerate(texts)] + [(7, "the Ω new", "en", None), (None, None, "ru", None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, quality int")
+    labels = spark.createDataFrame([(i, 1) for i in range(5)], "doc_id long, quality int")
+    got = quality.judged(frame.drop("quality"), labels).collect()
+    by_hand = brute_characters(texts)
+    assert len(got) == len(rows)
+    # Each trusted text by the model of the other fold, for the mean of its language.
+    folds = dict(frame.selectExpr("doc_id", "pmod(xxhash64(text), 2)").collect())
+    assert {folds[i] for i in range(5)} == {0, 1}
+    halves = [brute_characters([t for i, t in enumerate(texts) if folds[i] != f]) for f in (0, 1)]
+    known = [halves[folds[i]](t) for i, t in enumerate(texts)]
+    mean = sum(x for _, x in known) / sum(n for n, _ in known)
+    for row in got:
+        n, nll = by_hand(row["text"] or "")
+        assert row["n_symbols"] == n
+        assert row["perplexity"] == pytest.approx(np.exp((nll + 60 * mean) / (n + 60)), rel=1e-9)
+
+
+def test_garbled_letters_outside_latin_are_other_symbols(spark):
+    clean = ["привет как дела сегодня у тебя все хорошо", "今天天气很好我们去公园散步吧"] * 30
+    moved = lambda t: "".join(c if c == " " else chr(ord(c) + 3) for c in t)
+    rows = [(i, t + f" {i}", "xx") for i, t in enumerate(clean)]
+    rows += [(1000 + i, moved(t) * 3, "xx") for i, t in enumerate(clean[:2])]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = frame.filter("doc_id < 1000").selectExpr("doc_id", "1 as quality")
+    got = {r["doc_id"]: r["keep"] for r in quality.judged(frame, labels).collect()}
+    assert not got[1000] and not got[1001]
+    assert sum(got[i] for i in range(60)) >= 57
+
+
+def test_words_do_not_repeat_across_texts():
+    for one in (["no ", " no"], ["a b ", "b a"]):
+        alone = [tuple(quality.contexts([t])[0]) for t in one]
+        together = quality.contexts(one)
+        cuts = np.split(together[0], together[2][1:])
+        assert [tuple(c) for c in cuts] == alone
+
 
 # --- 10 ----------------------------------------------------------------------
 def test_section_tokens(spark, documents):
