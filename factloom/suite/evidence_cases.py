@@ -16,7 +16,11 @@ from factloom.suite.issue_cases import is_status
 from factloom.suite.registry import query, table
 
 
-def evidence_tables(spark, sf):
+#: What the evidence check and its source rows need of a fact.
+JUDGED = "seq value_num period geography entity source filters constraints source_row_keys source_cell_keys".split()
+
+
+def evidence_tables(spark, sf, columns=("*",)):
     """Facts, source row values and header cells, all from the same orders."""
     flat = flat_facts(spark, sf)
     key = F.col("seq").cast("string")
@@ -25,7 +29,7 @@ def evidence_tables(spark, sf):
             {"source_row_keys": F.array(key), "source_cell_keys": F.array(key)}
         )
     )
-    facts = materialise(facts, "evidence-facts")
+    facts = materialise(facts.select(*columns), "evidence-facts")
     segment, price = F.col("source.source_name"), F.col("value_num")
     kind = F.col("entity.name")
     year = F.col("source.vintage").cast("int")
@@ -104,7 +108,7 @@ ev AS (
 
 @query("vl11_evidence", f"WITH {SQL_FACTS}, {SQL_EVIDENCE} SELECT * FROM ev")
 def vl11(spark, sf):
-    facts, row_values, cells = evidence_tables(spark, sf)
+    facts, row_values, cells = evidence_tables(spark, sf, JUDGED)
     return E.evidence_issues(facts, "seq", row_values, cells).drop("claim")
 
 
@@ -118,7 +122,7 @@ def vl11(spark, sf):
 )
 def vl11_pairs(spark, sf):
     """Two rows and two cells per fact; the second row of one source disagrees."""
-    facts, row_values, cells = evidence_tables(spark, sf)
+    facts, row_values, cells = evidence_tables(spark, sf, JUDGED)
     key = F.col("seq").cast("string")
     mark = F.when(F.col("source.source_name") == "bureau_automobile", F.lit("x")).otherwise(F.lit("y"))
     second = F.concat(mark, key)

@@ -105,6 +105,36 @@ def test_last_column_of_a_repeated_name_wins(spark):
     assert codes(spark, fact, rows) == []
 
 
+def test_equal_facts_are_judged_once(spark):
+    """500 facts of two sorts; the rows differ in a column that no claim asks for."""
+    numbers = spark.range(500)
+    key = F.concat(F.lit("r"), "id")
+    other = F.col("id") % 5 == 0
+    flat = numbers.select(
+        F.col("id").alias("seq"),
+        F.lit("2021").alias("period_value"),
+        F.create_map(F.lit("region"), F.lit("A")).alias("filters"),
+        F.array().cast(f"array<{P.CONSTRAINT}>").alias("constraints"),
+        F.array(key, F.lit("gone")).alias("source_row_keys"),
+        F.array().cast("array<string>").alias("source_cell_keys"),
+    )
+    facts = P.nest_facts(flat)
+    region = F.when(other, "B").otherwise("A")
+    item = lambda at, name, value: F.struct(F.lit(at).alias("position"), F.lit(name).alias("raw_name"), value.cast("string").alias("value_text"))
+    values = numbers.select(
+        key.alias("row_key"), F.inline(F.array(item(1, "Region", region), item(2, "Amount", F.col("id"))))
+    )
+    backed = E._backed(facts, "seq")
+    words = E.lexicon(spark.createDataFrame([("region",), ("period",)], "variable string"))
+    sorts = E.sorted_facts(backed, "seq", values, E.asked_names(words), E._coded_cells(cells(spark)))
+    assert sorts.count() == 500
+    assert sorts.select(*E.SORT).distinct().count() == 2
+    found = E.evidence_issues(facts, "seq", values, cells(spark)).collect()
+    # The filter stands for a constraint as well.
+    expected = [(i, f"row_{kind}_value_mismatch", 1) for i in range(0, 500, 5) for kind in ("constraint", "filter")]
+    assert sorted((r["seq"], r["code"], r["mismatches"]) for r in found) == expected
+
+
 def test_label_and_layout_do_not_change_keys(spark):
     facts = order_facts(spark, FOLDER)
     keyed = K.with_fact_keys(facts)
