@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from factloom.operators.coverage import counts_by, duplicate_keys
 from factloom.operators.sequence import join_on
-from factloom.plans.schema import contract_row_schema, schema_errors
+from factloom.plans.schema import contract_row_schema, found_errors
 from factloom.session import store
 
 #: What a bundle is counted by: name and path in a contract row.
@@ -84,13 +84,14 @@ def build_bundle(lines: DataFrame, requested: DataFrame | None = None, schema: d
     key that repeats is an error of its key; repeated semantic keys are one
     warning with their number.  Without lines all parts are empty.
     """
-    found = F.get(schema_errors(contract_row_schema() if schema is None else schema, "text"), F.lit(0))
+    judged = found_errors(
+        lines.select("package", "text"), "text", contract_row_schema() if schema is None else schema
+    )
     checked = store(
-        lines.select(
+        judged.select(
             "package",
             "text",
-            # A generator: the errors of a row are worked out once.
-            F.explode(F.array(found)).alias("error"),
+            F.get("found", F.lit(0)).alias("error"),
             *[F.get_json_object("text", f"$.{key}").alias(key) for key in KEYS],
         ),
         "bundle",

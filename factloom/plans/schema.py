@@ -5,11 +5,15 @@ objects, arrays, references and conditions become nested array functions, so a
 table of JSON lines is checked in one pass and every error comes with its
 location.  The expression is written as SQL text, which is far quicker to build
 than thousands of column objects.
+
+Array functions are not compiled, so ``found_errors`` first tests each member of the
+root by plain paths, which are, and looks for errors in the members that fail only.
 """
 
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Callable, Mapping, Sequence
 from itertools import count
 from typing import Any
@@ -26,6 +30,7 @@ from factloom.plans.rules import (
 )
 
 ERROR = "struct<path:array<string>,rule:string,detail:string>"
+ROOT = "cast(array() as array<string>)"
 _NONE = f"cast(array() as array<{ERROR}>)"
 
 #: Words that say nothing about what is valid.
@@ -55,6 +60,10 @@ def _as(value: str, kind: str) -> str:
     return f"try_variant_get({value}, '$', '{kind}')"
 
 
+def _at(value: str, path: str, kind: str) -> str:
+    return f"try_variant_get({value}, {_text(path)}, '{kind}')"
+
+
 def _listed(kinds: Sequence[str]) -> str:
     return ", ".join(map(_text, kinds))
 
@@ -83,6 +92,8 @@ class _Compiler:
 
     def __init__(self, root: Mapping[str, Any]):
         self.root, self.names = root, count()
+        #: Tests of the root's members that passed, by name, as SQL; of all its keys: "".
+        self.passed: dict[str, str] = {}
 
     def bound(self, value: str, body: Callable[[str], str]) -> str:
         """``body`` of a value that is worked out once, however often it is used."""
@@ -104,12 +115,105 @@ class _Compiler:
         if schema is False:
             return f"array({_error(path, 'false', _text(''))})"
         # The kind of a value is worked out once for all rules about it.
-        held = (
-            f"named_struct('value', {value}, 'kind', "
-            f"regexp_extract(schema_of_variant({value}), '^[A-Z]+', 0))"
-        )
+        kind = f"regexp_extract(schema_of_variant({value}), '^[A-Z]+', 0)"
+        if path == ROOT and "" in self.passed:
+            kind = f"if({self.passed['']}, 'OBJECT', {kind})"
+        held = f"named_struct('value', {value}, 'kind', {kind})"
         return self.bound(held, lambda x: self.node(schema, f"{x}.value", f"{x}.kind", path, open_))
 
+    def again(self, schema: Any, value: str, kind: str, path: str, open_: tuple) -> str:
+        if schema in (True, False, {}):
+            return self.errors(schema, value, path, open_)
+        outer, self.passed = self.passed, {}  # they are about the document's own rules
+        found = self.node(schema, value, kind, path, open_)
+        self.passed = outer
+        return found
+
+    # --- tests by plain paths: true for valid values only, null or false for others ---
+    def test(self, schema: Any, value: str, at: str, open_: tuple = ()) -> str | None:
+        """Test of the value at a path; null where such a test cannot be written."""
+        if schema is True or schema == {}:
+            return f"{_at(value, at, 'variant')} is not null"
+        if schema is False or schema.get("$ref") in open_:
+            return None
+        tests, rest = [], {k: v for k, v in schema.items() if k not in ANNOTATIONS}
+        if "$ref" in rest:
+            name = rest.pop("$ref")
+            tests.append(self.test(self.resolved(name), value, at, (*open_, name)))
+        kind, string = f"schema_of_variant({_at(value, at, 'variant')})", _at(value, at, "string")
+        wanted = rest.pop("type", None)
+        words = ("required", "properties", "additionalProperties")
+        members = {w: rest.pop(w) for w in words if w in rest}
+        if wanted == "object" or members:
+            if wanted not in (None, "object"):
+                return None
+            tests.append(self.test_members(members, value, at, open_))
+        elif wanted == "array":
+            item = f"x{next(self.names)}"
+            inside = self.test(rest.pop("items", True), item, "$", open_)
+            tests.append(inside and f"forall({_at(value, at, 'array<variant>')}, {item} -> coalesce({inside}, false))")
+        elif wanted is not None:
+            kinds = [wanted] if isinstance(wanted, str) else wanted
+            number = _at(value, at, "double")
+            fits = []
+            if {"object", "array"} & set(kinds):
+                return None
+            for name in kinds:
+                one = " or ".join(f"startswith({kind}, {_text(k)})" for k in KINDS[name])
+                fits.append(f"(({one}) and {number} = rint({number}))" if name == "integer" else f"({one})")
+            tests.append(f"({' or '.join(fits)})")
+        for values in ([rest.pop("const")] if "const" in rest else None, rest.pop("enum", None)):
+            if values is not None:
+                if not values or not all(isinstance(v, str) for v in values):
+                    return None
+                tests.append(f"({kind} = 'STRING' and {string} in ({_listed(values)}))")
+        if "pattern" in rest:
+            tests.append(f"({kind} = 'STRING' and rlike({string}, {_text(rest.pop('pattern'))}))")
+        return None if rest or None in tests else " and ".join(tests)
+
+    def step(self, schema: Any, value: str, at: str, name: str, needed: bool, open_: tuple) -> str | None:
+        """1 for a valid member, 0 for one that may be absent and is; null else."""
+        if not re.fullmatch("[A-Za-z_][A-Za-z0-9_]*", name):
+            return None
+        inside = self.test(schema, value, f"{at}.{name}", open_)
+        absent = "" if needed else f" when {_at(value, f'{at}.{name}', 'variant')} is null then 0"
+        return inside and f"case when {inside} then 1{absent} end"
+
+    def test_members(self, rules: dict, value: str, at: str, open_: tuple) -> str | None:
+        properties, needed = rules.get("properties", {}), rules.get("required", [])
+        schemas = {**{n: True for n in needed}, **properties}
+        steps = [self.step(p, value, at, n, n in needed, open_) for n, p in schemas.items()]
+        if None in steps:
+            return None
+        members, found = _at(value, at, "map<string,variant>"), " + ".join(steps) or "0"
+        more = rules.get("additionalProperties", True)
+        if more is False:
+            # Members that nobody listed are more than were found.
+            return f"size({members}) = {found}" if set(needed) <= set(properties) else None
+        tests = [f"{members} is not null", f"({found}) is not null"]
+        if more is not True:
+            entry = f"x{next(self.names)}"
+            inside = self.test(more, f"{entry}.value", "$", open_)
+            if inside is None:
+                return None
+            known = f"{entry}.key in ({_listed(list(properties))}) or " if properties else ""
+            tests.append(f"forall(map_entries({members}), {entry} -> coalesce({known}{inside}, false))")
+        return " and ".join(tests)
+
+    def root_tests(self, value: str) -> dict[str, str]:
+        """Tests of the root's members by name; under "" one of its keys alone."""
+        properties, needed = self.root.get("properties", {}), self.root.get("required", [])
+        tests = {}
+        for name, schema in properties.items():
+            step = self.step(schema, value, "$", name, False, ())
+            if step is not None:
+                tests[name] = f"({step}) is not null"
+        any_of = {"required": needed, "properties": {n: True for n in [*properties, *needed]}}
+        closed = {"additionalProperties": False} if self.root.get("additionalProperties") is False else {}
+        if set(needed) <= set(properties) and (keys := self.test_members(any_of | closed, value, "$", ())):
+            tests[""] = keys
+        return tests
+
     def node(self, schema: Mapping[str, Any], value: str, kind: str, path: str, open_: tuple) -> str:
         deeper, own = [], []
         known = {"$ref", "if", "then", "else", "allOf", "anyOf", "oneOf", "not"}
@@ -117,12 +221,13 @@ class _Compiler:
             if schema["$ref"] in open_:
                 raise ValueError(f"a schema of unbounded depth: {schema['$ref']}")
             target = self.resolved(schema["$ref"])
-            deeper.append(self.errors(target, value, path, (*open_, schema["$ref"])))
-        deeper += [self.errors(part, value, path, open_) for part in schema.get("allOf", [])]
-        holds = lambda part: f"size({self.errors(part, value, path, open_)}) = 0"
+            deeper.append(self.again(target, value, kind, path, (*open_, schema["$ref"])))
+        # Rules about the same value share its kind.
+        again = lambda part: self.again(part, value, kind, path, open_)
+        deeper += [again(part) for part in schema.get("allOf", [])]
+        holds = lambda part: f"size({again(part)}) = 0"
         if "if" in schema:
-            true = self.errors(schema.get("then", True), value, path, open_)
-            false = self.errors(schema.get("else", True), value, path, open_)
+            true, false = again(schema.get("then", True)), again(schema.get("else", True))
             deeper.append(f"if({holds(schema['if'])}, {true}, {false})")
         if "not" in schema:
             own.append(_when(holds(schema["not"]), path, "not"))
@@ -187,18 +292,21 @@ class _Compiler:
 
     def members(self, rules: dict, members: str, path: str, open_: tuple) -> str:
         has = lambda name: f"map_contains_key({members}, {_text(name)})"
-        own = [_when(f"not {has(n)}", path, "required", _text(n)) for n in rules.get("required", [])]
+        passed = self.passed if path == ROOT else {}
+        keys = f"not {passed['']} and " if "" in passed else ""
+        own = [_when(f"{keys}not {has(n)}", path, "required", _text(n)) for n in rules.get("required", [])]
         deeper, properties = [], rules.get("properties", {})
         for name, schema in properties.items():
             if schema is not True and schema != {}:
                 member = f"try_element_at({members}, {_text(name)})"
                 inside = self.errors(schema, member, f"concat({path}, array({_text(name)}))", open_)
-                deeper.append(f"if({has(name)}, {inside}, null)")
+                untested = f"not {passed[name]} and " if name in passed else ""
+                deeper.append(f"if({untested}{has(name)}, {inside}, null)")
         more = rules.get("additionalProperties", True)
         named = f"cast(array({_listed(list(properties))}) as array<string>)"
         if more is False:
             rest = f"array_except(map_keys({members}), {named})"
-            own.append(_when(f"size({rest}) > 0", path, "additionalProperties", f"array_join({rest}, ', ')"))
+            own.append(_when(f"{keys}size({rest}) > 0", path, "additionalProperties", f"array_join({rest}, ', ')"))
         elif more is not True:
             entry, key = f"x{next(self.names)}", f"k{next(self.names)}"
             inside = self.errors(more, f"{entry}.value", f"concat({path}, array({entry}.key))", open_)
@@ -229,26 +337,42 @@ def schema_errors(schema: Mapping[str, Any], text: str) -> Column:
     into a schema that is being compiled, and a rule that is not supported, are
     errors when the schema is compiled.
     """
-    root = "cast(array() as array<string>)"
     compiler = _Compiler(schema)
-    broken = f"array({_error(root, 'not_json', f'left(`{text}`, 80)')})"
     found = compiler.bound(
         f"try_parse_json(`{text}`)",
-        lambda v: f"if({v} is null, {broken}, {compiler.errors(schema, v, root)})",
+        lambda v: f"if({v} is null, {_broken(text)}, {compiler.errors(schema, v, ROOT)})",
     )
     return F.array_sort(F.expr(found))
 
 
+def _broken(text: str) -> str:
+    return f"array({_error(ROOT, 'not_json', f'left(`{text}`, 80)')})"
+
+
+def found_errors(lines: DataFrame, text: str, schema: Mapping[str, Any], found: str = "found") -> DataFrame:
+    """``lines`` with ``schema_errors`` in ``found``, looked for where a test failed only."""
+    compiler = _Compiler(schema)
+    compiler.errors(schema, "x", ROOT)  # a schema that cannot be compiled is an error first
+    tests = compiler.root_tests("_json")
+    # Generators, so that values are worked out once, outside the array functions.
+    parsed = lines.select("*", F.explode(F.array(F.expr(f"try_parse_json(`{text}`)"))).alias("_json"))
+    held = [F.expr(f"coalesce({test}, false)").alias(f"t{i}") for i, test in enumerate(tests.values())]
+    tested = parsed.select("*", F.explode(F.array(F.struct(F.lit(True).alias("t"), *held))).alias("_passed"))
+    compiler.passed = {name: f"_passed.t{i}" for i, name in enumerate(tests)}
+    errors = f"if(_json is null, {_broken(text)}, {compiler.errors(schema, '_json', ROOT)})"
+    return tested.select(*lines.columns, F.explode(F.array(F.array_sort(F.expr(errors)))).alias(found))
+
+
 def validate_rows(lines: DataFrame, keep: Sequence[str], text: str, schema: Mapping[str, Any]) -> DataFrame:
     """``keep, location, rule, detail``: one row per error; the root is ``<root>``."""
-    found = lines.select(*keep, F.inline(schema_errors(schema, text)))
+    found = found_errors(lines, text, schema, "_found").select(*keep, F.inline("_found"))
     return found.select(*keep, _location(F.col("path")).alias("location"), "rule", "detail")
 
 
 def first_schema_error(lines: DataFrame, keep: Sequence[str], text: str, schema: Mapping[str, Any]) -> DataFrame:
     """The first error of each invalid row by location, then rule and detail."""
-    # A generator, so that the errors are worked out once however they are used.
-    found = lines.select(*keep, F.inline(F.slice(schema_errors(schema, text), 1, 1)))
+    found = found_errors(lines, text, schema, "_found")
+    found = found.select(*keep, F.inline(F.slice("_found", 1, 1)))
     return found.select(*keep, _location(F.col("path")).alias("location"), "rule", "detail")
 
 

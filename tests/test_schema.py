@@ -64,3 +64,33 @@ def test_first_error_is_by_location(spark):
     schema = {"properties": {"b": {"type": "string"}, "a": {"properties": {"z": {"type": "string"}}}}}
     rows = PS.first_schema_error(frame, ["i"], "text", schema).collect()
     assert sorted((r["i"], r["location"], r["rule"]) for r in rows) == [(1, "a/z", "type"), (3, "<root>", "not_json")]
+
+
+def test_tested_members_have_the_errors_of_the_whole_search(spark):
+    """Tests by plain paths pass for valid values alone, whatever else is there."""
+    schema = {
+        "type": "object",
+        "additionalProperties": False,
+        "required": ["k"],
+        "properties": {
+            "k": {"type": "string", "pattern": "^a"},
+            "n": {"type": ["integer", "string"]},
+            "e": {"enum": ["x", "y"]},
+            "o": {"type": "object", "required": ["p"], "additionalProperties": False, "properties": {"p": {"const": "c"}, "q": {}}},
+            "l": {"type": "array", "items": {"type": "string"}},
+            "m": {"type": "object", "additionalProperties": {"type": ["number", "boolean"]}},
+        },
+        "allOf": [{"if": {"required": ["e"]}, "then": {"properties": {"k": {"const": "ab"}}}}],
+    }
+    rows = [
+        {"k": "a"}, {"k": "b"}, {"k": None}, {}, {"k": "a", "z": 1}, {"k": "a", "n": 1.5}, {"k": "a", "n": 2.0}, {"k": "a", "n": None},
+        {"k": "ab", "e": "x"}, {"k": "a", "e": "x"}, {"k": "a", "e": 1}, {"k": "a", "o": {"p": "c", "q": None}}, {"k": "a", "o": {"q": 1}},
+        {"k": "a", "o": {"p": "c", "r": 1}}, {"k": "a", "o": None}, {"k": "a", "o": []}, {"k": "a", "l": ["s", None]}, {"k": "a", "l": []},
+        {"k": "a", "l": {"0": "s"}}, {"k": "a", "m": {"u": 1, "v": True}}, {"k": "a", "m": {"u": None}}, [], None,
+    ]
+    frame = spark.createDataFrame([(i, json.dumps(r)) for i, r in enumerate(rows)], "i int, text string")
+    compiler = PS._Compiler(schema)
+    assert set(compiler.root_tests("_json")) == {"", *schema["properties"]}
+    both = PS.found_errors(frame, "text", schema).select("i", "found", PS.schema_errors(schema, "text").alias("whole")).collect()
+    assert [(r["i"], r["found"]) for r in both if r["found"] != r["whole"]] == []
+    assert [r["i"] for r in sorted(both) if not r["found"]] == [0, 6, 8, 11, 17, 19]
