@@ -6,8 +6,8 @@ table of JSON lines is checked in one pass and every error comes with its
 location.  The expression is written as SQL text, which is far quicker to build
 than thousands of column objects.
 
-Array functions are not compiled, so ``found_errors`` first tests each member of the
-root by plain paths, which are, and looks for errors in the members that fail only.
+Array functions are not compiled, so ``found_errors`` first decodes a document to one
+struct, tests its members and looks for errors in the members that fail only.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ import json
 import re
 from collections.abc import Callable, Mapping, Sequence
 from itertools import count
-from typing import Any
+from typing import Any, NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,6 +31,8 @@ from factloom.plans.rules import (
 
 ERROR = "struct<path:array<string>,rule:string,detail:string>"
 ROOT = "cast(array() as array<string>)"
+#: Names that a path of a variant takes as they stand.
+PLAIN = "[A-Za-z_][A-Za-z0-9_]*"
 _NONE = f"cast(array() as array<{ERROR}>)"
 
 #: Words that say nothing about what is valid.
@@ -57,11 +59,19 @@ def _text(value: str) -> str:
 
 
 def _as(value: str, kind: str) -> str:
-    return f"try_variant_get({value}, '$', '{kind}')"
+    return f"try_variant_get({value}, '$', {_text(kind)})"
 
 
-def _at(value: str, path: str, kind: str) -> str:
-    return f"try_variant_get({value}, {_text(path)}, '{kind}')"
+def _at(value: str, name: str) -> str:
+    return f"try_variant_get({value}, '$.{name}', 'variant')"
+
+
+def _name(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _kind(value: str) -> str:
+    return f"regexp_extract(schema_of_variant({value}), '^[A-Z]+', 0)"
 
 
 def _listed(kinds: Sequence[str]) -> str:
@@ -87,13 +97,28 @@ def _gathered(own: Sequence[str], deeper: Sequence[str]) -> str:
     return f"concat({', '.join(parts)})" if len(parts) > 1 else parts[0] if parts else _NONE
 
 
+def _joined(own: Sequence[str], deeper: Sequence[str]) -> str:
+    """The same without array functions, so that it is compiled."""
+    alone = [f"if({error} is null, {_NONE}, array({error}))" for error in own]
+    parts = [*alone, *[f"coalesce({errors}, {_NONE})" for errors in deeper]]
+    return f"concat({', '.join(parts)})" if len(parts) > 1 else parts[0] if parts else _NONE
+
+
+class Shape(NamedTuple):
+    type: str  # that a value is decoded to; values of another kind become null
+    test: Callable[[str], str]  # of the decoded value, as SQL
+
+
 class _Compiler:
     """Every method gives SQL text; ``value``, ``kind`` and ``path`` are SQL too."""
 
     def __init__(self, root: Mapping[str, Any]):
         self.root, self.names = root, count()
-        #: Tests of the root's members that passed, by name, as SQL; of all its keys: "".
-        self.passed: dict[str, str] = {}
+        #: Tests of the root's members that passed, by name, as SQL; of all its keys: "";
+        #: of a part of its ``allOf``: that word and the part's number.
+        self.passed: dict[str | tuple[str, int], str] = {}
+        #: Columns with the kind of the document and the names of its members, where they are held.
+        self.held: tuple[str, str] | None = None
 
     def bound(self, value: str, body: Callable[[str], str]) -> str:
         """``body`` of a value that is worked out once, however often it is used."""
@@ -114,11 +139,10 @@ class _Compiler:
             return _NONE
         if schema is False:
             return f"array({_error(path, 'false', _text(''))})"
+        if path == ROOT and self.held:
+            return self.node(schema, value, self.held[0], path, open_)
         # The kind of a value is worked out once for all rules about it.
-        kind = f"regexp_extract(schema_of_variant({value}), '^[A-Z]+', 0)"
-        if path == ROOT and "" in self.passed:
-            kind = f"if({self.passed['']}, 'OBJECT', {kind})"
-        held = f"named_struct('value', {value}, 'kind', {kind})"
+        held = f"named_struct('value', {value}, 'kind', {_kind(value)})"
         return self.bound(held, lambda x: self.node(schema, f"{x}.value", f"{x}.kind", path, open_))
 
     def again(self, schema: Any, value: str, kind: str, path: str, open_: tuple) -> str:
@@ -129,91 +153,173 @@ class _Compiler:
         self.passed = outer
         return found
 
-    # --- tests by plain paths: true for valid values only, null or false for others ---
-    def test(self, schema: Any, value: str, at: str, open_: tuple = ()) -> str | None:
-        """Test of the value at a path; null where such a test cannot be written."""
-        if schema is True or schema == {}:
-            return f"{_at(value, at, 'variant')} is not null"
-        if schema is False or schema.get("$ref") in open_:
+    # --- tests of decoded values: true for valid ones only, null or false for others ---
+    def shape(self, schema: Any, open_: tuple = ()) -> Shape | None:
+        """Type to decode a value to, and its test; null where such a test cannot be written."""
+        if schema is False:
             return None
-        tests, rest = [], {k: v for k, v in schema.items() if k not in ANNOTATIONS}
+        rest = {} if schema is True else {k: v for k, v in schema.items() if k not in ANNOTATIONS}
         if "$ref" in rest:
             name = rest.pop("$ref")
-            tests.append(self.test(self.resolved(name), value, at, (*open_, name)))
-        kind, string = f"schema_of_variant({_at(value, at, 'variant')})", _at(value, at, "string")
+            return None if rest or name in open_ else self.shape(self.resolved(name), (*open_, name))
         wanted = rest.pop("type", None)
         words = ("required", "properties", "additionalProperties")
         members = {w: rest.pop(w) for w in words if w in rest}
         if wanted == "object" or members:
-            if wanted not in (None, "object"):
-                return None
-            tests.append(self.test_members(members, value, at, open_))
-        elif wanted == "array":
-            item = f"x{next(self.names)}"
-            inside = self.test(rest.pop("items", True), item, "$", open_)
-            tests.append(inside and f"forall({_at(value, at, 'array<variant>')}, {item} -> coalesce({inside}, false))")
-        elif wanted is not None:
-            kinds = [wanted] if isinstance(wanted, str) else wanted
-            number = _at(value, at, "double")
-            fits = []
-            if {"object", "array"} & set(kinds):
-                return None
-            for name in kinds:
-                one = " or ".join(f"startswith({kind}, {_text(k)})" for k in KINDS[name])
-                fits.append(f"(({one}) and {number} = rint({number}))" if name == "integer" else f"({one})")
-            tests.append(f"({' or '.join(fits)})")
-        for values in ([rest.pop("const")] if "const" in rest else None, rest.pop("enum", None)):
-            if values is not None:
-                if not values or not all(isinstance(v, str) for v in values):
-                    return None
-                tests.append(f"({kind} = 'STRING' and {string} in ({_listed(values)}))")
-        if "pattern" in rest:
-            tests.append(f"({kind} = 'STRING' and rlike({string}, {_text(rest.pop('pattern'))}))")
-        return None if rest or None in tests else " and ".join(tests)
-
-    def step(self, schema: Any, value: str, at: str, name: str, needed: bool, open_: tuple) -> str | None:
-        """1 for a valid member, 0 for one that may be absent and is; null else."""
-        if not re.fullmatch("[A-Za-z_][A-Za-z0-9_]*", name):
+            return None if rest or wanted not in (None, "object") else self.object_shape(members, open_)
+        if wanted == "array":
+            inside = self.shape(rest.pop("items", True), open_)
+            return None if rest or inside is None else self.array_shape(inside)
+        kinds = [wanted] if isinstance(wanted, str) else wanted
+        lists = ([rest.pop("const")] if "const" in rest else None, rest.pop("enum", None))
+        lists = [values for values in lists if values is not None]
+        pattern = rest.pop("pattern", None)
+        if rest or not all(values and all(isinstance(v, str) for v in values) for values in lists):
             return None
-        inside = self.test(schema, value, f"{at}.{name}", open_)
-        absent = "" if needed else f" when {_at(value, f'{at}.{name}', 'variant')} is null then 0"
-        return inside and f"case when {inside} then 1{absent} end"
-
-    def test_members(self, rules: dict, value: str, at: str, open_: tuple) -> str | None:
+        if lists or pattern is not None:
+            return self.text_shape(lists, pattern) if kinds is None or "string" in kinds else None
+        if kinds is None:
+            return Shape("variant", lambda x: f"{x} is not null")
+        return None if {"object", "array"} & set(kinds) else self.kinds_shape(kinds)
+
+    def text_shape(self, lists: Sequence[Sequence[str]], pattern: str | None) -> Shape:
+        # A number can be read as a string, but only a string as binary.
+        def test(x: str) -> str:
+            tests = [f"string({x}) in ({_listed(values)})" for values in lists]
+            if pattern is not None:
+                tests.append(f"rlike(string({x}), {_text(pattern)})")
+            return " and ".join(tests)
+
+        return Shape("binary", test)
+
+    def kinds_shape(self, kinds: Sequence[str]) -> Shape:
+        whole = "integer" in kinds and "number" not in kinds
+        plain = sorted({k for name in kinds if not (whole and name == "integer") for k in KINDS[name]})
+
+        def test(x: str) -> str:
+            kind, number = f"schema_of_variant({x})", _as(x, "double")
+            if whole or "DECIMAL" in plain:
+                kind = f"substring_index({kind}, '(', 1)"
+            fits = [f"{kind} in ({_listed(plain)})"] if plain else []
+            if whole:
+                fits.append(f"({kind} in ({_listed(NUMBERS)}) and {number} = rint({number}))")
+            return f"({' or '.join(fits)})" if fits else "false"
+
+        return Shape("variant", test)
+
+    def array_shape(self, inside: Shape) -> Shape:
+        item = f"x{next(self.names)}"
+        return Shape(f"array<{inside.type}>", lambda x: f"forall({x}, {item} -> coalesce({inside.test(item)}, false))")
+
+    def object_shape(self, rules: dict, open_: tuple) -> Shape | None:
+        """A map of the members; their tests read them from it."""
         properties, needed = rules.get("properties", {}), rules.get("required", [])
-        schemas = {**{n: True for n in needed}, **properties}
-        steps = [self.step(p, value, at, n, n in needed, open_) for n, p in schemas.items()]
-        if None in steps:
-            return None
-        members, found = _at(value, at, "map<string,variant>"), " + ".join(steps) or "0"
         more = rules.get("additionalProperties", True)
-        if more is False:
-            # Members that nobody listed are more than were found.
-            return f"size({members}) = {found}" if set(needed) <= set(properties) else None
-        tests = [f"{members} is not null", f"({found}) is not null"]
-        if more is not True:
-            entry = f"x{next(self.names)}"
-            inside = self.test(more, f"{entry}.value", "$", open_)
-            if inside is None:
-                return None
-            known = f"{entry}.key in ({_listed(list(properties))}) or " if properties else ""
-            tests.append(f"forall(map_entries({members}), {entry} -> coalesce({known}{inside}, false))")
-        return " and ".join(tests)
+        if more is False and not set(needed) <= set(properties):
+            return None
+        shapes = {n: self.shape(p, open_) for n, p in ({n: True for n in needed} | properties).items()}
+        other = None if isinstance(more, bool) else self.shape(more, open_)
+        wanted = [*shapes.values(), *([] if isinstance(more, bool) else [other])]
+        if None in wanted:
+            return None
+        types = {shape.type for shape in wanted}
+        held = "variant" if len(types) > 1 else types.pop() if types else "binary"
+        entry, inner = f"x{next(self.names)}", f"x{next(self.names)}"
+
+        def member(shape: Shape, x: str) -> str:
+            found = x if shape.type == held else _as(x, shape.type)
+            if not shape.type.startswith("map"):
+                return shape.test(found)
+            # Read once, however many members it has.
+            return f"forall(array({found}), {inner} -> coalesce({shape.test(inner)}, false))"
+
+        def test(x: str) -> str:
+            has = lambda n: f"map_contains_key({x}, {_text(n)})"
+            tests = [f"{x} is not null"]
+            for n, shape in shapes.items():
+                inside = member(shape, f"try_element_at({x}, {_text(n)})")
+                tests.append(inside if n in needed else f"(not {has(n)} or {inside})")
+            if more is False:
+                # Members that nobody listed are more than were found.
+                found = [f"int({has(n)})" for n in shapes if n not in needed]
+                tests.append(f"size({x}) = {' + '.join([str(len(set(needed))), *found])}")
+            elif other is not None:
+                known = f"{entry}.key in ({_listed(list(properties))}) or " if properties else ""
+                inside = f"coalesce({known}{member(other, f'{entry}.value')}, false)"
+                tests.append(f"forall(map_entries({x}), {entry} -> {inside})")
+            return " and ".join(tests)
+
+        return Shape(f"map<string,{held}>", test)
+
+    def root_shapes(self) -> dict[str, Shape]:
+        """Shapes of the root's members by name, of names that differ by more than case."""
+        properties = self.root.get("properties", {})
+        lowered = [name.lower() for name in properties]
+        shapes = {n: self.shape(p) for n, p in properties.items() if lowered.count(n.lower()) == 1}
+        return {name: shape for name, shape in shapes.items() if shape is not None}
 
     def root_tests(self, value: str) -> dict[str, str]:
-        """Tests of the root's members by name; under "" one of its keys alone."""
+        """Tests of the root's members by name; under "" one of its keys alone.
+
+        They read the columns ``{value}_keys``, the names of all members, and ``{value}_typed``, a struct.
+        """
         properties, needed = self.root.get("properties", {}), self.root.get("required", [])
-        tests = {}
-        for name, schema in properties.items():
-            step = self.step(schema, value, "$", name, False, ())
-            if step is not None:
-                tests[name] = f"({step}) is not null"
-        any_of = {"required": needed, "properties": {n: True for n in [*properties, *needed]}}
-        closed = {"additionalProperties": False} if self.root.get("additionalProperties") is False else {}
-        if set(needed) <= set(properties) and (keys := self.test_members(any_of | closed, value, "$", ())):
-            tests[""] = keys
+        given, tests = f"{value}_keys", {}
+        for name, shape in self.root_shapes().items():
+            found = f"{value}_typed.{_name(name)}"
+            absent = f"not array_contains({given}, {_text(name)})"
+            tests[name] = f"if({found} is null, {absent}, {shape.test(found)})"
+        # A member that was decoded is there.
+        has = lambda n: f"{value}_typed.{_name(n)} is not null" if n in tests else f"array_contains({given}, {_text(n)})"
+        keys = [f"{given} is not null", *map(has, needed)]
+        if self.root.get("additionalProperties") is False:
+            keys.append(f"size({given}) = {' + '.join(f'int({has(n)})' for n in properties) or '0'}")
+        tests[""] = " and ".join(keys)
         return tests
 
+    def tested_by(self, tests: Mapping[str | tuple[str, int], str]) -> bool:
+        """Whether a document that passes all the tests has no error."""
+        rules = {k: v for k, v in self.root.items() if k not in ANNOTATIONS}
+        wanted = [n for n, schema in rules.pop("properties", {}).items() if schema is not True and schema != {}]
+        wanted += [("allOf", i) for i in range(len(rules.pop("allOf", [])))]
+        rules.pop("required", None)
+        return set(wanted) <= set(tests) and (
+            rules.pop("type", "object") == "object" and isinstance(rules.pop("additionalProperties", True), bool) and not rules
+        )
+
+    def root_rule(self, rule: Any, value: str, holds: bool) -> str | None:
+        """True only for documents that hold a rule about some members, or only for those that break it.
+
+        Null where such a test cannot be written.
+        """
+        if isinstance(rule, bool):
+            return str(rule is holds).lower()
+        words = set(rule) - ANNOTATIONS
+        if words == {"not"}:
+            return self.root_rule(rule["not"], value, not holds)
+        if "if" in words and words <= {"if", "then", "else"}:
+            sides = [
+                (self.root_rule(rule["if"], value, side), self.root_rule(rule.get(word, True), value, holds))
+                for side, word in ((True, "then"), (False, "else"))
+            ]
+            if None in [test for side in sides for test in side]:
+                return None
+            return "(" + " or ".join(f"({of} and {then})" for of, then in sides) + ")"
+        if not words <= {"required", "properties"}:
+            return None
+        given = lambda n: f"array_contains({value}_keys, {_text(n)})"
+        tests = [given(n) for n in rule.get("required", [])]
+        for name, schema in rule.get("properties", {}).items():
+            shape, held = self.shape(schema), self.root_shapes().get(name)
+            # What is no listed string breaks a list of strings; of other rules that is not so plain.
+            listed = isinstance(schema, dict) and {*schema} in ({"const"}, {"enum"})
+            if not listed or None in (shape, held) or shape.type != held.type or shape.type != "binary":
+                return None
+            tests.append(f"(not {given(name)} or coalesce({shape.test(f'{value}_typed.{_name(name)}')}, false))")
+        # Rules about members say nothing about what is no object.
+        found = f"({' and '.join(tests) or 'true'})"
+        return f"({value}_keys is not null and {'' if holds else 'not '}{found})"
+
     def node(self, schema: Mapping[str, Any], value: str, kind: str, path: str, open_: tuple) -> str:
         deeper, own = [], []
         known = {"$ref", "if", "then", "else", "allOf", "anyOf", "oneOf", "not"}
@@ -224,7 +330,9 @@ class _Compiler:
             deeper.append(self.again(target, value, kind, path, (*open_, schema["$ref"])))
         # Rules about the same value share its kind.
         again = lambda part: self.again(part, value, kind, path, open_)
-        deeper += [again(part) for part in schema.get("allOf", [])]
+        for i, part in enumerate(schema.get("allOf", [])):
+            passed = self.passed.get(("allOf", i)) if path == ROOT else None
+            deeper.append(f"if({passed}, null, {again(part)})" if passed else again(part))
         holds = lambda part: f"size({again(part)}) = 0"
         if "if" in schema:
             true, false = again(schema.get("then", True)), again(schema.get("else", True))
@@ -237,7 +345,11 @@ class _Compiler:
                 own.append(_when(f"{fits} = 0" if word == "anyOf" else f"{fits} <> 1", path, word))
         rules = {k: v for k, v in schema.items() if k not in known and k not in ANNOTATIONS}
         self.rules(rules, value, kind, path, open_, own, deeper)
-        return _gathered(own, deeper)
+        return self.gathered(path)(own, deeper)
+
+    def gathered(self, path: str) -> Callable[[Sequence[str], Sequence[str]], str]:
+        """How errors meet: those of a held document outside array functions."""
+        return _joined if path == ROOT and self.held else _gathered
 
     def same(self, value: str, kind: str, wanted: Any) -> str:
         if wanted is None:
@@ -281,7 +393,14 @@ class _Compiler:
         words = ("required", "properties", "additionalProperties", "minProperties", "maxProperties")
         members = {w: rules.pop(w) for w in words if w in rules}
         if members:
-            found = self.bound(_as(value, "map<string,variant>"), lambda m: self.members(members, m, path, open_))
+            held = _as(value, "map<string,variant>")
+            if path == ROOT and self.held:
+                # Few members have errors: each is read alone.
+                at = lambda n: _at(value, n) if re.fullmatch(PLAIN, n) else f"try_element_at({held}, {_text(n)})"
+                found = self.members(members, held, self.held[1], at, path, open_)
+            else:
+                at = lambda m: lambda n: f"try_element_at({m}, {_text(n)})"
+                found = self.bound(held, lambda m: self.members(members, m, f"map_keys({m})", at(m), path, open_))
             deeper.append(f"if({kind} = 'OBJECT', {found}, null)")
         listed = {w: rules.pop(w) for w in ("items", "minItems", "maxItems") if w in rules}
         if listed:
@@ -290,23 +409,29 @@ class _Compiler:
         if rules:
             raise ValueError(f"not supported in a schema: {sorted(rules)}")
 
-    def members(self, rules: dict, members: str, path: str, open_: tuple) -> str:
-        has = lambda name: f"map_contains_key({members}, {_text(name)})"
+    def members(
+        self, rules: dict, members: str, keys: str, at: Callable[[str], str], path: str, open_: tuple
+    ) -> str:
         passed = self.passed if path == ROOT else {}
-        keys = f"not {passed['']} and " if "" in passed else ""
-        own = [_when(f"{keys}not {has(n)}", path, "required", _text(n)) for n in rules.get("required", [])]
-        deeper, properties = [], rules.get("properties", {})
+        tested = f"not {passed['']} and " if "" in passed else ""
+        own, deeper, properties = [], [], rules.get("properties", {})
+        needed = rules.get("required", [])
+        if tested and needed:
+            name = f"x{next(self.names)}"
+            absent = f"array_except(array({_listed(needed)}), {keys})"
+            deeper.append(f"if({tested}true, transform({absent}, {name} -> {_error(path, 'required', name)}), null)")
+        else:
+            own += [_when(f"{at(n)} is null", path, "required", _text(n)) for n in needed]
         for name, schema in properties.items():
             if schema is not True and schema != {}:
-                member = f"try_element_at({members}, {_text(name)})"
-                inside = self.errors(schema, member, f"concat({path}, array({_text(name)}))", open_)
+                inside = self.errors(schema, at(name), f"concat({path}, array({_text(name)}))", open_)
                 untested = f"not {passed[name]} and " if name in passed else ""
-                deeper.append(f"if({untested}{has(name)}, {inside}, null)")
+                deeper.append(f"if({untested}{at(name)} is not null, {inside}, null)")
         more = rules.get("additionalProperties", True)
         named = f"cast(array({_listed(list(properties))}) as array<string>)"
         if more is False:
-            rest = f"array_except(map_keys({members}), {named})"
-            own.append(_when(f"{keys}size({rest}) > 0", path, "additionalProperties", f"array_join({rest}, ', ')"))
+            rest = f"array_except({keys}, {named})"
+            own.append(_when(f"{tested}size({rest}) > 0", path, "additionalProperties", f"array_join({rest}, ', ')"))
         elif more is not True:
             entry, key = f"x{next(self.names)}", f"k{next(self.names)}"
             inside = self.errors(more, f"{entry}.value", f"concat({path}, array({entry}.key))", open_)
@@ -314,8 +439,8 @@ class _Compiler:
             deeper.append(f"flatten(transform({rest}, {entry} -> {inside}))")
         for rule, sign in (("minProperties", "<"), ("maxProperties", ">")):
             if rule in rules:
-                own.append(_when(f"size({members}) {sign} {rules[rule]:d}", path, rule))
-        return _gathered(own, deeper)
+                own.append(_when(f"size({keys}) {sign} {rules[rule]:d}", path, rule))
+        return self.gathered(path)(own, deeper)
 
     def items(self, rules: dict, items: str, path: str, open_: tuple) -> str:
         own, deeper = [], []
@@ -353,14 +478,31 @@ def found_errors(lines: DataFrame, text: str, schema: Mapping[str, Any], found:
     """``lines`` with ``schema_errors`` in ``found``, looked for where a test failed only."""
     compiler = _Compiler(schema)
     compiler.errors(schema, "x", ROOT)  # a schema that cannot be compiled is an error first
-    tests = compiler.root_tests("_json")
-    # Generators, so that values are worked out once, outside the array functions.
-    parsed = lines.select("*", F.explode(F.array(F.expr(f"try_parse_json(`{text}`)"))).alias("_json"))
-    held = [F.expr(f"coalesce({test}, false)").alias(f"t{i}") for i, test in enumerate(tests.values())]
-    tested = parsed.select("*", F.explode(F.array(F.struct(F.lit(True).alias("t"), *held))).alias("_passed"))
-    compiler.passed = {name: f"_passed.t{i}" for i, name in enumerate(tests)}
+    shapes, tests = compiler.root_shapes(), compiler.root_tests("_json")
+    for i, part in enumerate(schema.get("allOf", [])):
+        if test := compiler.root_rule(part, "_json", True):
+            tests["allOf", i] = test
+    typed = ",".join(f"{_name(name)}:{shape.type}" for name, shape in shapes.items())
+    # One column per step: each is worked out once and used by the next ones.
+    parsed = lines.select("*", F.expr(f"try_parse_json(`{text}`)").alias("_json"))
+    # Only the names are wanted, so values are read as what few of them are: null at once.
+    keys = "map_keys(try_variant_get(_json, '$', 'map<string,array<boolean>>'))"
+    struct = [F.expr(_as("_json", f"struct<{typed}>")).alias("_json_typed")] if shapes else []
+    decoded = parsed.select("*", F.expr(keys).alias("_json_keys"), *struct)
+    kind = f"if(_json_keys is not null, 'OBJECT', {_kind('_json')})"
+    flags = [F.expr(f"coalesce({test}, false)").alias(f"_t{i}") for i, test in enumerate(tests.values())]
+    tested = decoded.select("*", F.expr(kind).alias("_json_kind"), *flags)
+    compiler.passed = {name: f"_t{i}" for i, name in enumerate(tests)}
+    compiler.held = "_json_kind", "_json_keys"
     errors = f"if(_json is null, {_broken(text)}, {compiler.errors(schema, '_json', ROOT)})"
-    return tested.select(*lines.columns, F.explode(F.array(F.array_sort(F.expr(errors)))).alias(found))
+    if compiler.tested_by(tests):
+        errors = f"if({' and '.join(compiler.passed.values())}, {_NONE}, {errors})"
+    # Sorting is an array function as well: few rows need it.
+    sought = tested.select(*lines.columns, F.expr(errors).alias("_errors"))
+    ordered = F.when(F.size("_errors") < 2, F.col("_errors")).otherwise(F.array_sort("_errors"))
+    sought = sought.select(*lines.columns, ordered.alias(found))
+    # A generator, so that filters of the errors do not search again.
+    return sought.select(*lines.columns, F.explode(F.array(found)).alias(found))
 
 
 def validate_rows(lines: DataFrame, keep: Sequence[str], text: str, schema: Mapping[str, Any]) -> DataFrame:

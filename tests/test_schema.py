@@ -94,3 +94,44 @@ def test_tested_members_have_the_errors_of_the_whole_search(spark):
     both = PS.found_errors(frame, "text", schema).select("i", "found", PS.schema_errors(schema, "text").alias("whole")).collect()
     assert [(r["i"], r["found"]) for r in both if r["found"] != r["whole"]] == []
     assert [r["i"] for r in sorted(both) if not r["found"]] == [0, 6, 8, 11, 17, 19]
+
+
+def test_documents_are_tested_outside_generators_and_array_functions(spark):
+    """Generators and array functions are not compiled; a valid row needs few of them."""
+    frame = spark.createDataFrame([(1, "{}")], "i int, text string")
+    found = PS.found_errors(frame, "text", PS.contract_row_schema())
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    generators = [line for line in plan.splitlines() if "Generate " in line]
+    assert generators and not any("lambda" in line or "try_variant_get" in line for line in generators)
+
+
+def test_held_documents_have_the_errors_of_the_whole_search(spark):
+    """Conditions, names that differ by case or need quotes, kinds that texts hide, keys twice."""
+    schema = {
+        "type": "object",
+        "additionalProperties": False,
+        "required": ["a", "A"],
+        "properties": {
+            "a": {"type": "string"}, "A": {"type": "string"}, "b`.\\'c": {"const": "x"}, "s": {"enum": ["x", "1", "true"]},
+            "t": {"type": "string"}, "o": {"type": "object", "required": ["p"], "properties": {"p": {"type": "string"}, "q": {"enum": ["1"]}}},
+            "l": {"type": "array", "items": {"type": "object", "additionalProperties": False, "properties": {"v": {"type": ["integer", "string"]}}}},
+            "m": {"additionalProperties": {"type": "string"}}, "n": {"type": ["number", "null"]},
+        },
+        "allOf": [
+            {"if": {"properties": {"s": {"const": "x"}}, "required": ["s"]}, "then": {"required": ["t"]}, "else": {"not": {"required": ["t"]}}},
+            {"not": {"properties": {"s": {"enum": ["true"]}}, "required": ["s", "n"]}},
+        ],
+    }
+    base = {"a": "1", "A": "2"}
+    more = [
+        {}, {"s": "x"}, {"s": "x", "t": "u"}, {"t": "u"}, {"s": 1}, {"s": "1"}, {"s": True}, {"s": "true", "n": None}, {"s": "true"}, {"n": "1"}, {"n": 1.5},
+        {"b`.\\'c": "x"}, {"b`.\\'c": "y"}, {"t": 5, "s": "x"}, {"o": {"p": "1", "r": 1}}, {"o": {"p": 1}}, {"o": {"p": "1", "q": 1}}, {"o": {"p": "1", "q": "1"}}, {"o": {}},
+        {"l": [{"v": 1}, {"v": "1"}, {}]}, {"l": [{"v": 1.5}]}, {"l": [{"w": 1}]}, {"l": [None]}, {"m": {"x": "1"}}, {"m": {"x": 1}}, {"m": "x"}, {"z": 1},
+    ]
+    rows = [json.dumps(base | row) for row in more] + ['{"a": "1"}', '{"a": 1, "A": "2"}', '{"a": "1", "A": "2", "t": "1", "t": "2"}', "[1]", "null", "3", "", '{"a": [1]}']
+    frame = spark.createDataFrame(list(enumerate(rows)), "i int, text string")
+    both = PS.found_errors(frame, "text", schema).select("i", "found", PS.schema_errors(schema, "text").alias("whole")).collect()
+    assert len(both) == len(rows)
+    assert [(rows[r["i"]], r["found"], r["whole"]) for r in both if r["found"] != r["whole"]] == []
+    # A text is no object, so rules about members pass it.
+    assert [r["i"] for r in sorted(both) if not r["found"]] == [0, 2, 5, 8, 10, 11, 14, 17, 19, 23, 25]
