@@ -17,13 +17,13 @@ from factloom.operators.sequence import join_on
 from factloom.plans.schema import contract_row_schema, found_errors
 from factloom.session import store
 
-#: What a bundle is counted by: name and path in a contract row.
+#: What a bundle is counted by: name, and path in a contract row by member and field.
 DIMENSIONS = {
-    "source": "$.source.source_name",
-    "period": "$.period.value",
-    "geography": "$.geography.level",
-    "entity": "$.entity.name",
-    "assertion": "$.assertion",
+    "source": ("source", "source_name"),
+    "period": ("period", "value"),
+    "geography": ("geography", "level"),
+    "entity": ("entity", "name"),
+    "assertion": ("assertion", None),
 }
 KEYS = ["aggregate_fact_key", "semantic_fact_key"]
 
@@ -87,12 +87,20 @@ def build_bundle(lines: DataFrame, requested: DataFrame | None = None, schema: d
     judged = found_errors(
         lines.select("package", "text"), "text", contract_row_schema() if schema is None else schema
     )
+    # The members are read in one pass; what is inside them from their own short texts.
+    members = {name: f"_{name}" for name in [*KEYS, *[member for member, _ in DIMENSIONS.values()]]}
+    read = judged.select("package", "text", "found", F.json_tuple("text", *members).alias(*members.values()))
+    dims = {
+        f"dim_{name}": F.col(members[member]) if field is None else F.get_json_object(members[member], f"$.{field}")
+        for name, (member, field) in DIMENSIONS.items()
+    }
     checked = store(
-        judged.select(
+        read.select(
             "package",
             "text",
             F.get("found", F.lit(0)).alias("error"),
-            *[F.get_json_object("text", f"$.{key}").alias(key) for key in KEYS],
+            *[F.col(members[key]).alias(key) for key in KEYS],
+            *[value.alias(name) for name, value in dims.items()],
         ),
         "bundle",
     )
@@ -107,7 +115,8 @@ def build_bundle(lines: DataFrame, requested: DataFrame | None = None, schema: d
     packages = tallied.withColumn("state", state)
     built = packages.filter("state = 'built'").select("package", F.lit(True).alias("_built"))
     # One row per package goes to the rows.
-    rows = join_on(checked, built, ["package"], "inner").select("package", "text", *KEYS)
+    kept = join_on(checked, built, ["package"], "inner")
+    rows = kept.select("package", "text", *KEYS)
 
     def issues(frame: DataFrame, code: str, severity: str, **columns: Column) -> DataFrame:
         nothing = {"package": "string", "key": "string", "detail": "string", "n": "bigint"}
@@ -134,5 +143,5 @@ def build_bundle(lines: DataFrame, requested: DataFrame | None = None, schema: d
             requested.select("package").distinct(), packages.select("package", F.lit(True).alias("_there")), ["package"]
         ).filter("_there is null")
         listed = listed.unionByName(issues(absent, "package_without_rows", "error", package=F.col("package")))
-    dims = {name: F.get_json_object("text", path) for name, path in DIMENSIONS.items()}
-    return Bundle(rows, packages.drop("_first"), listed, counts_by(rows, dims))
+    counts = counts_by(kept, {name: F.col(f"dim_{name}") for name in DIMENSIONS})
+    return Bundle(rows, packages.drop("_first"), listed, counts)

@@ -42,3 +42,14 @@ def test_consumer_rows_hold_the_contract(spark):
     assert PS.validate_rows(lines, ["aggregate_fact_key"], "text", PS.contract_row_schema()).count() == 0
     one = lines.select(F.get_json_object("text", "$.value").alias("v")).first()["v"]
     assert float(one) > 0
+
+
+def test_counts_are_of_columns_read_with_the_check(spark):
+    """Rows are read once, before they are stored; their texts are not read again for each dimension."""
+    row = '{"aggregate_fact_key":"%s","semantic_fact_key":"s","source":{"source_name":"n\\"1","x":[1]},"period":{"value":%s},"geography":{},"assertion":"a"}'
+    lines = [("p", row % ("a", "1997")), ("p", row % ("b", '"1997"')), ("p", row % ("c", "null")), ("q", row % ("d", "1.50"))]
+    found = B.build_bundle(spark.createDataFrame(lines, "package string, text string"), None, SCHEMA)
+    assert {(r["dim"], r["key"]): r["n"] for r in found.counts.collect()} == {
+        ("source", 'n"1'): 4, ("period", "1997"): 2, ("period", "1.5"): 1, ("assertion", "a"): 4,
+    }
+    assert "get_json_object" not in found.counts._jdf.queryExecution().executedPlan().toString()
